@@ -28,6 +28,11 @@ def _with_newest(ev: DataFrame, arrival: Sequence[str] = ARRIVAL) -> DataFrame:
     return running(ordered_runs(known, [], arrival), [], arrival, _newest=newest).drop("_run")
 
 
+def window_columns(size: str) -> dict[str, Column]:
+    start, end = window_bounds(F.col("event_timestamp"), size)
+    return {"window_start": start, "window_end": end}
+
+
 def lateness_class(watermark: Column, window_end: Column, lateness: str) -> Column:
     return (
         F.when(watermark >= plus(window_end, duration_micros(lateness)), TOO_LATE)
@@ -40,12 +45,10 @@ def classify_lateness(
     ev: DataFrame, ooo: str = OUT_OF_ORDER, lateness: str = LATENESS, size: str = SIZE,
     arrival: Sequence[str] = ARRIVAL,
 ) -> DataFrame:
-    start, end = window_bounds(F.col("event_timestamp"), size)
     return (
         _with_newest(ev, arrival)
         .withColumn("watermark", plus(F.col("_newest"), -duration_micros(ooo)))
-        .withColumn("window_start", start)
-        .withColumn("window_end", end)
+        .withColumns(window_columns(size))
         .withColumn("lateness_class", lateness_class(F.col("watermark"), F.col("window_end"), lateness))
         .drop("_newest")
     )
@@ -170,9 +173,7 @@ def watermark_tuning(
     """What each watermark delay (minutes) would keep and drop without allowed lateness, how long
     after its end a window closes on average, and the share of events kept."""
     minute = duration_micros("1 minute")
-    start, end = window_bounds(F.col("event_timestamp"), size)
-    narrow = ev.select("event_timestamp", *arrival)
-    seen = _with_newest(narrow, arrival).withColumn("window_end", end).checkpoint()
+    seen = _with_newest(ev.select("event_timestamp", *arrival), arrival).withColumns(window_columns(size)).checkpoint()
     dropped = [
         F.count_if(F.coalesce(plus(F.col("_newest"), -d * minute) >= F.col("window_end"), F.lit(False))).alias(f"_dropped_{d}")
         for d in delays
@@ -207,9 +208,7 @@ def firings(
     is still open. ON_TIME: when the watermark passes the window's end. LATE: the count after the
     last late event, at its arrival. A window the watermark never passes has no ON_TIME row.
     """
-    start, end = window_bounds(F.col("event_timestamp"), size)
-    narrow = ev.select("event_timestamp", *arrival)
-    seen = _with_newest(narrow, arrival).withColumn("window_start", start).withColumn("window_end", end)
+    seen = _with_newest(ev.select("event_timestamp", *arrival), arrival).withColumns(window_columns(size))
     mark = plus(F.col("_newest"), -duration_micros(ooo))
     seen = seen.withColumn("_class", lateness_class(mark, F.col("window_end"), lateness)).checkpoint()
 

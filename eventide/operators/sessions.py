@@ -166,6 +166,12 @@ def _shares(purchase: str) -> list[Column]:
     ]
 
 
+def _mean(column: str, places: int) -> Column:
+    """Rounded mean of values with two decimals, summed exactly so that ties round the same way
+    whatever the order of the rows."""
+    return F.round(F.avg(F.col(column).cast("decimal(18,2)")), places).cast("double")
+
+
 def _hour() -> Column:
     return F.date_trunc("hour", "start_time").alias("hour")
 
@@ -183,7 +189,7 @@ def session_summary(sessions: DataFrame, purchase: str = "purchase") -> DataFram
 def session_metrics_hourly(sessions: DataFrame, purchase: str = "purchase") -> DataFrame:
     return sessions.groupBy(_hour(), "device_type", "country").agg(
         F.count(F.lit(1)).alias("total_sessions"),
-        F.round(F.avg("duration_minutes"), 2).alias("avg_duration_minutes"),
+        _mean("duration_minutes", 2).alias("avg_duration_minutes"),
         *_shares(purchase),
     )
 
@@ -199,8 +205,8 @@ def bounce_rate(sessions: DataFrame, by_hour: bool = True) -> DataFrame:
 def sessions_by_device(sessions: DataFrame) -> DataFrame:
     return sessions.groupBy("device_type").agg(
         F.count(F.lit(1)).alias("sessions"),
-        F.round(F.avg("duration_minutes"), 2).alias("avg_duration"),
-        F.round(F.avg("pages_visited"), 1).alias("avg_pages"),
+        _mean("duration_minutes", 2).alias("avg_duration"),
+        _mean("pages_visited", 1).alias("avg_pages"),
     )
 
 

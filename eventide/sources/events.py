@@ -54,6 +54,7 @@ def load_events(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_events(spark: SparkSession, folder: str, **options: str) -> DataFrame:
-    """The same rows as a file stream."""
+    """The same rows as a file stream. The path is written as a pattern because a file stream
+    takes a plain path for a directory, and the table may be a single file."""
     reader = prepare(spark).readStream.schema(RAW_SCHEMA).options(**options)
-    return canonical(reader.parquet(f"{folder}/events.parquet"))
+    return canonical(reader.parquet(f"{folder}/events.parque[t]"))

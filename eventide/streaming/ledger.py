@@ -12,9 +12,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from eventide.functions.timing import duration_micros, plus, window_bounds
+from eventide.functions.timing import duration_micros, plus
 from eventide.operators.late import (
-    LATENESS, OUT_OF_ORDER, SIZE, TOO_LATE, count_by_class, final_counts, late_row, lateness_class,
+    LATENESS, OUT_OF_ORDER, SIZE, TOO_LATE, count_by_class, final_counts, late_row, lateness_class, window_columns,
 )
 from eventide.sinks.tables import BATCH, ForeachBatch
 
@@ -36,9 +36,8 @@ def late_ledger(
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         before = _newest_before(spark, path, batch_id)
-        start, end = window_bounds(F.col("event_timestamp"), size)
         mark = plus(F.lit(before).cast("timestamp"), -duration_micros(ooo))
-        tagged = batch.where(F.col("event_timestamp").isNotNull()).withColumns({"window_start": start, "window_end": end})
+        tagged = batch.where(F.col("event_timestamp").isNotNull()).withColumns(window_columns(size))
         classified = tagged.withColumn("lateness_class", lateness_class(mark, F.col("window_end"), lateness)).persist()
         try:
             count_by_class(classified, key).write.mode("overwrite").parquet(f"{path}/counts/{BATCH}={batch_id}")

@@ -39,7 +39,7 @@ class _Blocks(StatefulProcessor):
         block, have, first, last = self.open.get() if self.open.exists() else (0, 0, None, None)
         full = []
         for chunk in rows:
-            at = chunk.sort_values(["_arrived", "_seq"])["_at"].to_numpy()
+            at = chunk.sort_values(["arrived", "arrival_no"])["at"].to_numpy()
             while len(at):
                 part, at = at[: self.n - have], at[self.n - have :]
                 have += len(part)
@@ -59,8 +59,8 @@ def count_windows_stream(ev: DataFrame, key: str = "user_id", n: int = 100, ttl:
     """Blocks of ``n`` events per key, emitted as they fill. With ``ttl`` a key's open block is
     forgotten after that much processing time without events."""
     narrow = ev.select(
-        key, F.unix_micros("event_timestamp").alias("_at"), F.unix_micros("processing_timestamp").alias("_arrived"),
-        F.col("seq").alias("_seq"),
+        key, F.unix_micros("event_timestamp").alias("at"), F.unix_micros("processing_timestamp").alias("arrived"),
+        F.col("seq").alias("arrival_no"),
     )
     ttl_ms = duration_micros(ttl) // 1000 if ttl else None
     blocks = narrow.groupBy(key).transformWithStateInPandas(
