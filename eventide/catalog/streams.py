@@ -6,17 +6,21 @@ the watermark (10 minutes behind the newest event) has passed its end; so says t
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
 from eventide.catalog.registry import register
-from eventide.catalog.reports import clicks_and_profiles
+from eventide.catalog.reports import SCHEMA, clicks_and_profiles
 from eventide.catalog.sql import statement
 from eventide.operators import joins, rows, sessions, windows
 from eventide.session import scratch_folder
 from eventide.sinks import tables
+from eventide.sources import ingest
 from eventide.sources.events import CART, CLICK, PAGE_VIEW, PURCHASE, load_events, stream_events
+from eventide.sources.messages import message_log
 from eventide.streaming import ledger, run, stateful
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-
 
 def _final(event_type: str | None = None) -> str:
     # Spark applies a filter on the event type before the watermark, which then follows that type.
@@ -36,6 +40,80 @@ def _watermarked(spark: SparkSession, folder: str) -> DataFrame:
     return rows.with_watermark(stream_events(spark, folder), "10 minutes")
 
 
+def _delivered(df: DataFrame) -> str:
+    """Rows written to a new folder, as a producer or an earlier job would leave them."""
+    out = scratch_folder(df.sparkSession, "delivered")
+    df.write.parquet(out)
+    return out
+
+
+@register("stream_ingest", statement("""
+SELECT time_bucket(INTERVAL 5 MINUTE, moment) AS window_start, time_bucket(INTERVAL 5 MINUTE, moment) + INTERVAL 5 MINUTE AS window_end,
+       event_type, count(*) AS count
+FROM (SELECT *, make_timestamp("timestamp" * 1000) AS moment FROM decoded WHERE kind NOT IN (0, 1, 2, 3, 5))
+WHERE time_bucket(INTERVAL 5 MINUTE, moment) + INTERVAL 5 MINUTE
+      <= (SELECT make_timestamp(max("timestamp") * 1000) FROM decoded WHERE kind NOT IN (0, 1, 2, 3, 5)) - INTERVAL 10 MINUTE
+GROUP BY ALL""", "decoded"))
+def _(spark, folder):
+    # Messages to counts: source, decoding, event time, watermark, window.
+    log = _delivered(message_log(load_events(spark, folder)))
+    events = ingest.valid_events(ingest.read_events(spark, log, "parquet"), SCHEMA)
+    return _appended(windows.tumbling_count(rows.with_watermark(rows.with_event_time(events))))
+
+
+@register("stream_quarantine", statement("""
+SELECT seq AS "offset", CASE WHEN kind IN (0, 3, 5) THEN 'undecodable' WHEN kind = 1 THEN 'no user_id' ELSE 'no timestamp' END AS reason
+FROM messages WHERE kind IN (0, 1, 2, 3, 5)""", "messages"))
+def _(spark, folder):
+    out = scratch_folder(spark, "quarantine")
+    log = _delivered(message_log(load_events(spark, folder)))
+    bad = ingest.quarantine(ingest.read_events(spark, log, "parquet"), SCHEMA, "offset").select("offset", "reason")
+    run.batch_sink(bad, tables.append_rows(f"{out}/rows"), f"{out}/state", every=None).awaitTermination()
+    return spark.read.parquet(f"{out}/rows").select("offset", "reason")
+
+
+@register("stream_two_queries", statement(f"""
+SELECT 'event_type' AS kind, window_start, window_end, event_type AS key, count FROM counts {_final()}
+UNION ALL
+SELECT 'page_url', window_start, window_end, page_url, count FROM views {_final(PAGE_VIEW)}""", "counts", "views"))
+def _(spark, folder):
+    # Two queries off one source, running side by side.
+    out, ev = scratch_folder(spark, "pair"), _watermarked(spark, folder)
+    both = {"event_type": windows.tumbling_count(ev), "page_url": windows.page_views(ev, PAGE_VIEW)}
+    started = [run.append_sink(df, f"{out}/{k}", f"{out}/state-{k}", every=None) for k, df in both.items()]
+    while any(q.isActive for q in started):
+        run.await_any(spark, 60)
+        spark.streams.resetTerminated()
+    for query in started:
+        query.awaitTermination()
+    read = [
+        spark.read.schema(df.schema).parquet(f"{out}/{k}").select(
+            F.lit(k).alias("kind"), "window_start", "window_end", F.col(k).alias("key"), "count"
+        )
+        for k, df in both.items()
+    ]
+    return read[0].unionByName(read[1])
+
+
+@register("stream_memory_sink", statement("SELECT event_type, count(*) AS count FROM ev GROUP BY event_type", "ev"))
+def _(spark, folder):
+    # The memory sink is for small results: here one row per event type.
+    totals = stream_events(spark, folder).groupBy("event_type").count()
+    name = f"totals_{uuid.uuid4().hex}"
+    run.memory_sink(totals, name, "complete").awaitTermination()
+    return spark.table(name)
+
+
+@register("partitioned_write", statement("""
+SELECT window_start, window_end, event_type, count, CAST(window_start AS DATE) AS date FROM counts
+WHERE CAST(window_start AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-12'""", "counts"))
+def _(spark, folder):
+    # A table by day; the filter on the day is answered by reading three of its folders.
+    out = scratch_folder(spark, "by-day")
+    tables.partitioned_write(windows.tumbling_count(load_events(spark, folder)), out)
+    return ingest.read_table(spark, out).where(F.col("date").between("2024-01-10", "2024-01-12"))
+
+
 @register("stream_tumbling_count", statement(f"SELECT * FROM counts {_final()}", "counts"))
 def _(spark, folder):
     return _appended(windows.tumbling_count(_watermarked(spark, folder)))

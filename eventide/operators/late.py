@@ -12,7 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from eventide.functions.quantile import exact_percentiles
-from eventide.functions.timing import duration_micros, percent, plus, window_bounds
+from eventide.functions.timing import duration_micros, percent, plus, slot, window_bounds
+from eventide.operators.anomalies import rate_anomaly
 from eventide.operators.rows import ARRIVAL
 from eventide.plans.ordered import Running, ordered_runs, running
 
@@ -219,9 +220,19 @@ def firings(
         F.count_if(kind == LATE).alias("_late"),
         F.max(F.when(kind == LATE, arrived)).alias("_last_late"),
     ).withColumn("_early_at", plus(F.col("_first"), duration_micros(early)))
-    early_counts = seen.where(kind == ON_TIME).select("window_start", "processing_timestamp").join(
-        windows.select("window_start", "_early_at"), "window_start"
-    ).where(arrived <= F.col("_early_at")).groupBy("window_start").agg(F.count(F.lit(1)).alias("_early"))
+    # The early interval touches two arrival slots of its own length. Joining on them too leaves the
+    # rest of a heavy window's events out, and the counts are partially aggregated after the join.
+    wait = duration_micros(early)
+    first_slot = slot(F.col("_first"), wait)
+    spans = windows.select("window_start", "_early_at", F.explode(F.array(first_slot, first_slot + wait)).alias("_slot"))
+    early_counts = (
+        seen.where(kind == ON_TIME)
+        .select("window_start", "processing_timestamp", slot(arrived, wait).alias("_slot"))
+        .join(spans, ["window_start", "_slot"])
+        .where(arrived <= F.col("_early_at"))
+        .groupBy("window_start")
+        .agg(F.count(F.lit(1)).alias("_early"))
+    )
     targets = windows.select("window_start", plus(F.col("window_end"), duration_micros(ooo)).alias("_target"))
     closing = _closing_times(seen.select("event_timestamp", "_newest", "processing_timestamp"), targets)
 
@@ -255,7 +266,5 @@ def lag_monitor(
 
 def lag_spikes(monitor: DataFrame, factor: float = 2.0, span: str = "1 hour") -> DataFrame:
     """Windows whose mean lag exceeds ``factor`` times that of the hour before."""
-    from eventide.operators.anomalies import rate_anomaly
-
     renamed = monitor.withColumn("clicks_per_minute", F.col("avg_lag_ms"))
     return rate_anomaly(renamed, factor, span).withColumnRenamed("clicks_per_minute", "avg_lag_ms")

@@ -70,10 +70,10 @@ def valid_events(raw: DataFrame, schema: T.StructType) -> DataFrame:
     return good.select(*[F.col(f"_data.{f.name}") for f in schema.fields])
 
 
-def quarantine(raw: DataFrame, schema: T.StructType) -> DataFrame:
-    """The other messages, as text, with the reason."""
+def quarantine(raw: DataFrame, schema: T.StructType, *keep: str) -> DataFrame:
+    """The other messages, as text, with the reason and the envelope columns named in ``keep``."""
     bad = _decoded(raw, schema).withColumn("reason", _fault(schema)).where(F.col("reason").isNotNull())
-    return bad.select(F.col("value").cast("string").alias("value"), "reason")
+    return bad.select(*keep, F.col("value").cast("string").alias("value"), "reason")
 
 
 def union_channels(channels: dict[str, DataFrame]) -> DataFrame:
