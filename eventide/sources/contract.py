@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from pathlib import Path
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 # The fields of a clickstream event, in order.
 REQUIRED_TEXT = ("event_id", "user_id", "session_id", "event_type", "page_url")
@@ -78,34 +78,29 @@ def contract_schema(contract: str | Path | dict, binary: bool = False) -> T.Stru
 
 def contract_audit(raw: DataFrame, schema: T.StructType) -> DataFrame:
     """How far decodable messages keep to the contract: per field how often it was missing, null or
-    of the wrong type; for keys outside the contract how often they occurred."""
+    of the wrong type; for keys outside the contract how often they occurred. One pass: a message
+    becomes one row per field, which the partial aggregation folds again in the same task."""
     text = F.col("value").cast("string")
     relaxed = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
-    parsed = raw.select(
+    both = F.struct(
         F.from_json(text, "map<string,string>").alias("found"),
         F.from_json(text, relaxed, {"mode": "PERMISSIVE"}).alias("typed"),
-    ).where(F.col("found").isNotNull())
-
-    names = [f.name for f in schema.fields]
-    counts = []
-    for name in names:
-        has = F.map_contains_key("found", name)
-        value = F.col("found")[name]
-        counts += [
-            F.count_if(~has).alias(f"missing {name}"),
-            F.count_if(has & value.isNull()).alias(f"null {name}"),
-            F.count_if(value.isNotNull() & F.col("typed")[name].isNull()).alias(f"bad {name}"),
-        ]
-    none = F.lit(0).cast("long")
-    per_field = parsed.agg(*counts).select(F.inline(F.array(*[
-        F.struct(
-            F.lit(n).alias("field"), F.col(f"missing {n}").alias("missing"), F.col(f"null {n}").alias("nulls"),
-            F.col(f"bad {n}").alias("bad_type"), none.alias("unknown"),
-        )
-        for n in names
-    ])))
-    known = F.array(*[F.lit(n) for n in names])
-    strangers = parsed.select(F.explode(F.array_except(F.map_keys("found"), known)).alias("field")).groupBy("field").agg(
-        F.count(F.lit(1)).alias("unknown")
-    ).select("field", none.alias("missing"), none.alias("nulls"), none.alias("bad_type"), "unknown")
-    return per_field.unionByName(strangers)
+    )
+    # As a generated row the decoded message is computed once, however often it is used below.
+    decoded = raw.select(F.inline(F.filter(F.array(both), lambda m: m["found"].isNotNull())))
+
+    def line(field: Column, *flags: Column) -> Column:
+        names = ("missing", "nulls", "bad_type", "unknown")
+        return F.struct(field.alias("field"), *[f.cast("long").alias(n) for n, f in zip(names, flags)])
+
+    no, yes, names = F.lit(False), F.lit(True), [f.name for f in schema.fields]
+
+    def contract_line(name: str) -> Column:
+        has, value = F.map_contains_key("found", name), F.col("found")[name]
+        return line(F.lit(name), ~has, has & value.isNull(), value.isNotNull() & F.col("typed")[name].isNull(), no)
+
+    strangers = F.array_except(F.map_keys("found"), F.array(*[F.lit(n) for n in names]))
+    lines = F.concat(F.array(*[contract_line(n) for n in names]), F.transform(strangers, lambda k: line(k, no, no, no, yes)))
+    return decoded.select(F.inline(lines)).groupBy("field").agg(
+        *[F.sum(c).alias(c) for c in ("missing", "nulls", "bad_type", "unknown")]
+    )

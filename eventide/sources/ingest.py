@@ -42,38 +42,45 @@ def message_key() -> Column:
     return F.col("key").cast("string")
 
 
-def _decoded(raw: DataFrame, schema: T.StructType) -> DataFrame:
+def _decoded(schema: T.StructType) -> Column:
+    """The message as a struct of contract fields plus a field set where the text is broken."""
     # Decoding fills in nulls whatever the contract says, so the fields are declared nullable.
     relaxed = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
     relaxed = relaxed.add(_BROKEN, T.StringType(), True)
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN}
-    return raw.select("*", F.from_json(F.col("value").cast("string"), relaxed, options).alias("_data"))
+    return F.from_json(F.col("value").cast("string"), relaxed, options)
 
 
-def parse_events(raw: DataFrame, schema: T.StructType) -> DataFrame:
-    """Contract columns of every message; what cannot be decoded is null."""
-    return _decoded(raw, schema).select(*[F.col(f"_data.{f.name}") for f in schema.fields])
+def _judged(schema: T.StructType) -> Column:
+    """One-element array of the decoded message and what is wrong with it. Being an array element
+    makes the optimizer decode once: a filter on a decoded column would be pushed below the
+    projection and decode again."""
+
+    def fault(data: Column) -> Column:
+        found = F.when(data.isNull() | data[_BROKEN].isNotNull(), "undecodable")
+        for name in MUST_HAVE:
+            if name in schema.names:
+                found = found.when(data[name].isNull(), f"no {name}")
+        return found
 
+    return F.transform(F.array(_decoded(schema)), lambda d: F.struct(d.alias("data"), fault(d).alias("reason")))
 
-def _fault(schema: T.StructType) -> Column:
-    """Why a message is unusable, or null."""
-    fault = F.when(F.col("_data").isNull() | F.col(f"_data.{_BROKEN}").isNotNull(), "undecodable")
-    for name in MUST_HAVE:
-        if name in schema.names:
-            fault = fault.when(F.col(f"_data.{name}").isNull(), f"no {name}")
-    return fault
+
+def parse_events(raw: DataFrame, schema: T.StructType) -> DataFrame:
+    """Contract columns of every message; what cannot be decoded is null."""
+    return raw.select(_decoded(schema).alias("_data")).select(*[F.col(f"_data.{f.name}") for f in schema.fields])
 
 
 def valid_events(raw: DataFrame, schema: T.StructType) -> DataFrame:
     """Contract columns of the messages that decode and carry id, user and event time."""
-    good = _decoded(raw, schema).where(_fault(schema).isNull())
-    return good.select(*[F.col(f"_data.{f.name}") for f in schema.fields])
+    good = F.filter(_judged(schema), lambda m: m["reason"].isNull())
+    return raw.select(F.inline(good)).select(*[F.col(f"data.{f.name}") for f in schema.fields])
 
 
 def quarantine(raw: DataFrame, schema: T.StructType, *keep: str) -> DataFrame:
     """The other messages, as text, with the reason and the envelope columns named in ``keep``."""
-    bad = _decoded(raw, schema).withColumn("reason", _fault(schema)).where(F.col("reason").isNotNull())
-    return bad.select(*keep, F.col("value").cast("string").alias("value"), "reason")
+    bad = F.filter(_judged(schema), lambda m: m["reason"].isNotNull())
+    return raw.select(*keep, F.col("value").cast("string").alias("value"), F.inline(bad)).drop("data")
 
 
 def union_channels(channels: dict[str, DataFrame]) -> DataFrame:
