@@ -78,29 +78,46 @@ def contract_schema(contract: str | Path | dict, binary: bool = False) -> T.Stru
 
 def contract_audit(raw: DataFrame, schema: T.StructType) -> DataFrame:
     """How far decodable messages keep to the contract: per field how often it was missing, null or
-    of the wrong type; for keys outside the contract how often they occurred. One pass: a message
-    becomes one row per field, which the partial aggregation folds again in the same task."""
+    of the wrong type; for keys outside the contract how often they occurred.
+
+    One pass: a message becomes a row per key it has and a row that stands for the message, folded
+    by partial aggregation in the same task. A field is missing in the messages that do not have it,
+    so only present keys need rows. Text fields take any value; only the others can be of a wrong type.
+    """
     text = F.col("value").cast("string")
-    relaxed = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
-    both = F.struct(
-        F.from_json(text, "map<string,string>").alias("found"),
-        F.from_json(text, relaxed, {"mode": "PERMISSIVE"}).alias("typed"),
-    )
+    checked = [T.StructField(f.name, f.dataType, True) for f in schema.fields if f.dataType != T.StringType()]
+    typed = F.from_json(text, T.StructType(checked)) if checked else F.lit(None)
+    both = F.struct(F.from_json(text, "map<string,string>").alias("found"), typed.alias("typed"))
     # As a generated row the decoded message is computed once, however often it is used below.
     decoded = raw.select(F.inline(F.filter(F.array(both), lambda m: m["found"].isNotNull())))
 
-    def line(field: Column, *flags: Column) -> Column:
-        names = ("missing", "nulls", "bad_type", "unknown")
-        return F.struct(field.alias("field"), *[f.cast("long").alias(n) for n, f in zip(names, flags)])
+    def line(field: Column, present: Column | int = 0, nulls: Column | int = 0, bad: Column | int = 0) -> Column:
+        counts = {"present": present, "nulls": nulls, "bad_type": bad}
+        whole = [(F.lit(c) if isinstance(c, int) else c).cast("long").alias(n) for n, c in counts.items()]
+        return F.struct(field.cast("string").alias("field"), *whole)
+
+    keys = F.transform(F.map_entries("found"), lambda e: line(e["key"], 1, e["value"].isNull()))
+    wrong = [
+        line(F.lit(f.name), bad=F.col("found")[f.name].isNotNull() & F.col("typed")[f.name].isNull()) for f in checked
+    ]
+    lines = F.concat(keys, F.array(line(F.lit(None), 1), *wrong))
+    per_key = decoded.select(F.inline(lines)).groupBy("field").agg(
+        *[F.sum(c).alias(c) for c in ("present", "nulls", "bad_type")]
+    )
 
-    no, yes, names = F.lit(False), F.lit(True), [f.name for f in schema.fields]
+    # A row per key is left. The messages' row (no field) gives every contract field its total.
+    names = [f.name for f in schema.fields]
+    none, present = F.lit(0).cast("long"), F.col("present")
 
-    def contract_line(name: str) -> Column:
-        has, value = F.map_contains_key("found", name), F.col("found")[name]
-        return line(F.lit(name), ~has, has & value.isNull(), value.isNotNull() & F.col("typed")[name].isNull(), no)
+    def result(field: Column, missing: Column, nulls: Column, bad: Column, unknown: Column) -> Column:
+        columns = {"field": field, "missing": missing, "nulls": nulls, "bad_type": bad, "unknown": unknown}
+        return F.struct(*[c.alias(n) for n, c in columns.items()])
 
-    strangers = F.array_except(F.map_keys("found"), F.array(*[F.lit(n) for n in names]))
-    lines = F.concat(F.array(*[contract_line(n) for n in names]), F.transform(strangers, lambda k: line(k, no, no, no, yes)))
-    return decoded.select(F.inline(lines)).groupBy("field").agg(
+    rows = (
+        F.when(F.col("field").isNull(), F.array(*[result(F.lit(n), present, none, none, none) for n in names]))
+        .when(F.col("field").isin(names), F.array(result(F.col("field"), -present, F.col("nulls"), F.col("bad_type"), none)))
+        .otherwise(F.array(result(F.col("field"), none, none, none, present)))
+    )
+    return per_key.select(F.inline(rows)).groupBy("field").agg(
         *[F.sum(c).alias(c) for c in ("missing", "nulls", "bad_type", "unknown")]
     )
