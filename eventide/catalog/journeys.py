@@ -294,7 +294,7 @@ def _(spark, folder):
 @register("watermark_tuning", statement("""
 SELECT d.delay AS delay_minutes, count(*) FILTER (NOT dropped) AS kept, count(*) FILTER (dropped) AS dropped,
        any_value(c.avg_close) AS avg_close_delay_seconds,
-       round(count(*) FILTER (NOT dropped)::DOUBLE / count(*), 9) AS accuracy
+       round(count(*) FILTER (NOT dropped)::DOUBLE / count(*), 4) AS accuracy
 FROM (SELECT delay, coalesce(newest - to_minutes(delay) >= time_bucket(INTERVAL 5 MINUTE, event_timestamp) + INTERVAL 5 MINUTE, false)
              AS dropped
       FROM seen, (SELECT unnest([1, 5, 30])::BIGINT AS delay)) d
@@ -332,22 +332,22 @@ def _(spark, folder):
 
 
 @register("lag_monitor", statement("""
-SELECT window_start, window_end, round(avg((epoch_us(processing_timestamp) - epoch_us(event_timestamp))::DOUBLE / 1000), 9) AS avg_lag_ms,
+SELECT window_start, window_end, round(avg((epoch_us(processing_timestamp) - epoch_us(event_timestamp))::DOUBLE / 1000), 6) AS avg_lag_ms,
        max((epoch_us(processing_timestamp) - epoch_us(event_timestamp))::DOUBLE / 1000) AS max_lag_ms,
        round(100.0::DOUBLE * count(*) FILTER (lateness_class <> 'on_time') / count(*), 2) AS late_rate
 FROM classed_5m GROUP BY window_start, window_end""", "classed_5m"))
 def _(spark, folder):
-    return rounded(late.lag_monitor(load_events(spark, folder)), avg_lag_ms=9)
+    return rounded(late.lag_monitor(load_events(spark, folder)), avg_lag_ms=6)
 
 
 @register("lag_spikes", statement("""
 , m AS (
-SELECT window_start, window_end, round(avg((epoch_us(processing_timestamp) - epoch_us(event_timestamp))::DOUBLE / 1000), 9) AS avg_lag_ms
+SELECT window_start, window_end, round(avg((epoch_us(processing_timestamp) - epoch_us(event_timestamp))::DOUBLE / 1000), 6) AS avg_lag_ms
 FROM classed_5m GROUP BY window_start, window_end)
-SELECT c.window_start, c.window_end, c.avg_lag_ms, round(avg(b.avg_lag_ms), 6) AS baseline,
+SELECT c.window_start, c.window_end, c.avg_lag_ms, round(avg(b.avg_lag_ms), 3) AS baseline,
        coalesce(c.avg_lag_ms > 2.0::DOUBLE * round(avg(b.avg_lag_ms), 6), false) AS is_anomaly
 FROM m c LEFT JOIN m b ON b.window_start BETWEEN c.window_start - INTERVAL 60 MINUTE AND c.window_start - INTERVAL 1 MINUTE
 GROUP BY c.window_start, c.window_end, c.avg_lag_ms""", "classed_5m"))
 def _(spark, folder):
-    monitor = rounded(late.lag_monitor(load_events(spark, folder)), avg_lag_ms=9)
-    return late.lag_spikes(monitor, 2.0)
+    monitor = rounded(late.lag_monitor(load_events(spark, folder)), avg_lag_ms=6)
+    return rounded(late.lag_spikes(monitor, 2.0), baseline=3)
