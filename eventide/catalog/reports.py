@@ -69,6 +69,11 @@ def _(spark, folder):
     return ingest.read_table(spark, f"{folder}/events.parquet")
 
 
+@register("lake_count", "SELECT count(*) AS count FROM events")
+def _(spark, folder):
+    return ingest.read_table(spark, f"{folder}/events.parquet").agg(F.count(F.lit(1)).alias("count"))
+
+
 @register("type_distribution", statement("SELECT event_type, count(*) AS count FROM ev GROUP BY event_type", "ev"))
 def _(spark, folder):
     return ingest.type_distribution(load_events(spark, folder))

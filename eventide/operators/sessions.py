@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from eventide.functions.timing import duration_micros, epoch_millis, minutes_between, percent, plus, slot
-from eventide.plans.ordered import Running, ordered_runs, running
+from eventide.plans.ordered import Running, ordered_runs, running, split_keys_only
 
 GAP = "30 minutes"
 SLICE = "_slice"
@@ -66,16 +66,19 @@ def assign_sessions(ev: DataFrame, gap: str = GAP) -> DataFrame:
     at = F.col("event_timestamp")
     usable = ev.where(at.isNotNull() & F.col("user_id").isNotNull())
     runs = ordered_runs(usable, keys, ORDER)
-    # In event-time order the previous timestamp is the largest one so far.
-    linked = running(runs, keys, ORDER, prev_event_timestamp=Running("max", at, inclusive=False))
     prev = F.col("prev_event_timestamp")
     since = (F.unix_micros(at) - F.unix_micros(prev)) / F.lit(1e6)
-    linked = linked.withColumn("time_since_last_seconds", F.coalesce(since, F.lit(0.0))).withColumn(
-        "is_new_session", F.when(at > plus(prev, width), 1).otherwise(0).cast("long")
-    )
+
+    def linked(rows: DataFrame) -> DataFrame:
+        # In event-time order the previous timestamp is the largest one so far.
+        out = running(rows, keys, ORDER, prev_event_timestamp=Running("max", at, inclusive=False))
+        return out.withColumn("time_since_last_seconds", F.coalesce(since, F.lit(0.0))).withColumn(
+            "is_new_session", F.when(at > plus(prev, width), 1).otherwise(0).cast("long")
+        )
+
     opens = prev.isNull() | (F.col("is_new_session") == 1)
     numbered = running(
-        linked, keys, ORDER,
+        linked(runs), keys, ORDER, totals_from=linked(split_keys_only(runs, keys)),
         session_number=Running("sum", F.col("is_new_session")),
         _start=Running("max", F.when(opens, at)),
     )
@@ -127,11 +130,15 @@ def session_metrics(ev: DataFrame, gap: str = GAP, end: str = "last_event") -> D
     return _shape(grouped, gap, end)
 
 
-def session_metrics_stream(ev: DataFrame, gap: str = GAP, end: str = "last_event") -> DataFrame:
+def session_metrics_stream(
+    ev: DataFrame, gap: str = GAP, end: str = "last_event", approximate_pages: bool = False
+) -> DataFrame:
     """The same rows from a watermarked stream (append mode): a session comes out once the
-    watermark passes its closing time. Keeps the set of distinct pages per open session as state."""
+    watermark passes its closing time. The state of an open session holds its distinct pages;
+    ``approximate_pages`` holds a sketch of fixed size instead, and the count is then an estimate."""
+    pages = F.approx_count_distinct("page_url") if approximate_pages else F.size(F.collect_set("page_url")).cast("long")
     grouped = ev.groupBy(F.session_window("event_timestamp", gap), "user_id").agg(
-        F.min("event_timestamp").alias("start_time"), *_metrics(F.size(F.collect_set("page_url")).cast("long"))
+        F.min("event_timestamp").alias("start_time"), *_metrics(pages)
     )
     return _shape(grouped, gap, end)
 
@@ -335,16 +342,24 @@ def funnel(ev: DataFrame, stages: list[str], gap: str = GAP, names: list[str] |
     )
 
 
+_PLACE = "struct<event_timestamp:timestamp,event_id:string>"
+
+
 def _linked_channels(ev: DataFrame, gap: str) -> DataFrame:
     """Events with their session's start and the user's event before them (time and channel)."""
     keys, at = ["user_id"], F.col("event_timestamp")
     narrow = ev.select("user_id", "event_timestamp", "event_id", "channel", "event_type")
     narrow = narrow.where(at.isNotNull() & F.col("user_id").isNotNull())
-    here = F.struct(*ORDER, "channel")
-    linked = running(ordered_runs(narrow, keys, ORDER), keys, ORDER, _prev=Running("max", here, inclusive=False))
+    runs = ordered_runs(narrow, keys, ORDER)
+    split = split_keys_only(runs, keys)
+    before = Running("max", F.struct(*ORDER, "channel"), inclusive=False)
     opens = F.col("_prev").isNull() | (at > plus(F.col("_prev.event_timestamp"), duration_micros(gap)))
-    linked = linked.withColumn("_opens", opens)
-    return running(linked, keys, ORDER, session_start=Running("max", F.when(F.col("_opens"), at)))
+
+    def linked(rows: DataFrame) -> DataFrame:
+        return running(rows, keys, ORDER, totals_from=split, _prev=before).withColumn("_opens", opens)
+
+    start = Running("max", F.when(F.col("_opens"), at))
+    return running(linked(runs), keys, ORDER, totals_from=linked(split), session_start=start)
 
 
 def journey_steps(ev: DataFrame, gap: str = GAP) -> DataFrame:
@@ -367,7 +382,7 @@ def channel_journeys(ev: DataFrame, gap: str = GAP, purchase: str = "purchase")
     bought = (F.col("event_type") == purchase).cast("int")
     here = F.struct(F.col("channel").alias("channel"), F.struct(*ORDER).alias("first"), F.lit(0.0).alias("seconds"), bought.alias("bought"))
     there = F.struct(
-        F.col("_prev.channel").alias("channel"), F.lit(None).cast(T_ORDER).alias("first"), dwell.alias("seconds"), F.lit(0).alias("bought")
+        F.col("_prev.channel").alias("channel"), F.lit(None).cast(_PLACE).alias("first"), dwell.alias("seconds"), F.lit(0).alias("bought")
     )
     both = F.when(F.col("_opens"), F.array(here)).otherwise(F.array(here, there))
     per_channel = linked.select("user_id", "session_start", F.inline(both)).groupBy("user_id", "session_start", "channel").agg(
@@ -384,9 +399,6 @@ def channel_journeys(ev: DataFrame, gap: str = GAP, purchase: str = "purchase")
     )
 
 
-T_ORDER = "struct<event_timestamp:timestamp,event_id:string>"
-
-
 def path_counts(journeys: DataFrame) -> DataFrame:
     return journeys.groupBy("path").agg(
         F.count(F.lit(1)).alias("sessions"), F.count_if("converted").alias("conversions")

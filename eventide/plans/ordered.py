@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -50,13 +50,26 @@ def ordered_runs(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Da
     return cut.withColumn(RUN, F.spark_partition_id()).checkpoint()
 
 
-def running(runs: DataFrame, keys: Sequence[str], order: Sequence[str], **columns: Running) -> DataFrame:
-    """Add running aggregates over ``keys`` in ``order`` to the output of :func:`ordered_runs`."""
+def split_keys_only(runs: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows of those keys that lie in more than one run. There are fewer such keys than runs, so
+    the semi-join's key table is a broadcast of proven size."""
+    pieces = runs.select(*[F.col(k).alias(f"_key_{k}") for k in keys], RUN).distinct()
+    split = pieces.groupBy(*[f"_key_{k}" for k in keys]).agg(F.count(F.lit(1)).alias("_runs")).where("_runs > 1")
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
+    return runs.join(F.broadcast(split), same, "left_semi")
+
+
+def running(
+    runs: DataFrame, keys: Sequence[str], order: Sequence[str], totals_from: DataFrame | None = None, **columns: Running
+) -> DataFrame:
+    """Add running aggregates over ``keys`` in ``order`` to the output of :func:`ordered_runs`.
+
+    Only keys cut by a run border carry anything over. Where the totals of a run are expensive, let
+    ``totals_from`` be the same rows for just those keys (see :func:`split_keys_only`).
+    """
     in_run = Window.partitionBy(*keys, RUN).orderBy(*order)
-    earlier_runs = (
-        Window.partitionBy(*keys).orderBy(RUN).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    totals = runs.groupBy(*keys, RUN).agg(
+    earlier_runs = Window.partitionBy(*keys).orderBy(RUN).rowsBetween(Window.unboundedPreceding, -1)
+    totals = (runs if totals_from is None else totals_from).groupBy(*keys, RUN).agg(
         *[_TOTAL[c.kind](c.value).alias(f"_total_{name}") for name, c in columns.items()]
     )
     carried = totals.select(
@@ -75,11 +88,10 @@ def running(runs: DataFrame, keys: Sequence[str], order: Sequence[str], **column
             for n, c in columns.items()
         ],
     )
-    same = F.col(RUN) == F.col("_key_run")
-    for key in keys:
-        same = same & F.col(key).eqNullSafe(F.col(f"_key_{key}"))
-    joined = local.join(F.broadcast(carried), same, "left")
-    return joined.select(
+    same = reduce(
+        and_, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys], F.col(RUN) == F.col("_key_run")
+    )
+    return local.join(F.broadcast(carried), same, "left").select(
         *runs.columns,
         *[_JOIN[c.kind](F.col(f"_carry_{n}"), F.col(f"_local_{n}")).alias(n) for n, c in columns.items()],
     )

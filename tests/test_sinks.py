@@ -102,15 +102,18 @@ def test_stream_equals_batch(spark, tmp_path, operator):
     assert _rows(out) == _rows(operator(_batch(spark)))
 
 
-def test_session_stream_equals_batch(spark, tmp_path):
-    out = _stream(spark, str(tmp_path), DELIVERIES, lambda s: sessions.session_metrics_stream(rows.with_watermark(s)))
+@pytest.mark.parametrize("approximate", [False, True])
+def test_session_stream_equals_batch(spark, tmp_path, approximate):
+    build = lambda s: sessions.session_metrics_stream(rows.with_watermark(s), approximate_pages=approximate)
+    out = _stream(spark, str(tmp_path), DELIVERIES, build)
     assert _rows(out) == _rows(sessions.session_metrics(_batch(spark)))
 
 
-def test_count_windows_over_several_batches(spark, tmp_path):
+@pytest.mark.parametrize("ttl", [None, "24 hours"])
+def test_count_windows_over_several_batches(spark, tmp_path, ttl):
     deliveries = [[event(i, f"10:{i:02d}", "a") for i in range(k, k + 5)] for k in (0, 5, 10)]
     with stateful.rocksdb_state(spark):
-        out = _stream(spark, str(tmp_path), deliveries, lambda s: stateful.count_windows_stream(s, n=4))
+        out = _stream(spark, str(tmp_path), deliveries, lambda s: stateful.count_windows_stream(s, n=4, ttl=ttl))
     got = sorted((r.block, r["count"], r.first_ts.minute, r.last_ts.minute) for r in out.collect())
     assert got == [(0, 4, 0, 3), (1, 4, 4, 7), (2, 4, 8, 11)]
 
