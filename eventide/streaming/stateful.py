@@ -57,7 +57,8 @@ class _Blocks(StatefulProcessor):
 
 def count_windows_stream(ev: DataFrame, key: str = "user_id", n: int = 100, ttl: str | None = None) -> DataFrame:
     """Blocks of ``n`` events per key, emitted as they fill. With ``ttl`` a key's open block is
-    forgotten after that much processing time without events."""
+    forgotten after that much processing time without events; such a stream runs on processing
+    time and, with nothing left to read, keeps waiting for it instead of ending."""
     narrow = ev.select(
         key, F.unix_micros("event_timestamp").alias("at"), F.unix_micros("processing_timestamp").alias("arrived"),
         F.col("seq").alias("arrival_no"),

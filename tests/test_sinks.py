@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -109,15 +111,33 @@ def test_session_stream_equals_batch(spark, tmp_path, approximate):
     assert _rows(out) == _rows(sessions.session_metrics(_batch(spark)))
 
 
-@pytest.mark.parametrize("ttl", [None, "24 hours"])
-def test_count_windows_over_several_batches(spark, tmp_path, ttl):
+def test_count_windows_over_several_batches(spark, tmp_path):
     deliveries = [[event(i, f"10:{i:02d}", "a") for i in range(k, k + 5)] for k in (0, 5, 10)]
     with stateful.rocksdb_state(spark):
-        out = _stream(spark, str(tmp_path), deliveries, lambda s: stateful.count_windows_stream(s, n=4, ttl=ttl))
+        out = _stream(spark, str(tmp_path), deliveries, lambda s: stateful.count_windows_stream(s, n=4))
     got = sorted((r.block, r["count"], r.first_ts.minute, r.last_ts.minute) for r in out.collect())
     assert got == [(0, 4, 0, 3), (1, 4, 4, 7), (2, 4, 8, 11)]
 
 
+def test_count_windows_with_time_to_live(spark, tmp_path):
+    # State that expires runs on processing time, and such a stream does not end by itself.
+    path = str(tmp_path)
+    frame(spark, [event(i, f"10:{i:02d}", "a") for i in range(9)]).coalesce(1).write.parquet(f"{path}/in")
+    source = spark.readStream.schema(frame(spark, []).schema).parquet(f"{path}/in")
+    with stateful.rocksdb_state(spark):
+        blocks = stateful.count_windows_stream(source, n=4, ttl="24 hours")
+        query = run.append_sink(blocks, f"{path}/out", f"{path}/state", every="1 second")
+    try:
+        for _ in range(60):
+            if query.lastProgress and query.lastProgress.batchId > 0:
+                break
+            time.sleep(0.5)
+    finally:
+        query.stop()
+    out = spark.read.schema(blocks.schema).parquet(f"{path}/out")
+    assert sorted((r.block, r["count"]) for r in out.collect()) == [(0, 4), (1, 4)]
+
+
 def test_cart_alert_comes_after_the_idle_time(spark, tmp_path):
     build = lambda s: stateful.abandoned_carts_stream(s)
     cart = [event(0, "10:00", "a", "add_to_cart"), event(1, "10:05", "b", "add_to_cart"), event(2, "10:06", "b", "purchase")]
