@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from eventide.session import checkpoint_root
 
 RUN = "_run"
+_ORIGIN = "_origin"
 
 
 @dataclass(frozen=True)
@@ -42,11 +43,15 @@ _JOIN = {
 def ordered_runs(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Cut ``df`` into runs that are contiguous in (keys, order), numbered by ``_run``.
 
+    Rows equal in keys and order, copies of one row included, may be cut apart as well: the input
+    partition they come from is the last sort column. It stays the same when a task is repeated.
+
     The result is checkpointed: run borders come from sampling, so two branches planning the
     range shuffle on their own could cut at different places.
     """
     checkpoint_root(df.sparkSession)
-    cut = df.repartitionByRange(*[F.col(c) for c in (*keys, *order)])
+    traced = df.withColumn(_ORIGIN, F.spark_partition_id())
+    cut = traced.repartitionByRange(*[F.col(c) for c in (*keys, *order, _ORIGIN)]).drop(_ORIGIN)
     return cut.withColumn(RUN, F.spark_partition_id()).checkpoint()
 
 

@@ -50,6 +50,22 @@ def test_heavy_key_and_heavy_moment_are_split(spark):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
+def test_copies_of_one_row_are_split(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = [("k", 5)] * 2000 + [("k", i % 5) for i in range(500)] + [("k", 6)] * 500
+        df = spark.createDataFrame(rows, "key string, at long").repartition(16)
+        runs = ordered_runs(df, ["key"], ["at"])
+        assert runs.where("at = 5").select(RUN).distinct().count() > 2
+        out = running(runs, ["key"], ["at"], place=Running("sum", F.lit(1)))
+        assert sorted(r.place for r in out.collect()) == list(range(1, 3001))
+        assert [tuple(r) for r in out.groupBy("at").agg(F.min("place"), F.max("place")).where("at > 4").orderBy("at").collect()] == [
+            (5, 501, 2500), (6, 2501, 3000)
+        ]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.tuples(st.sampled_from("abc"), st.integers(0, 5), st.integers(-9, 9)), min_size=1, max_size=60))
 def test_any_rows(spark, drawn):
