@@ -342,12 +342,11 @@ def _(spark, folder):
 
 @register("lag_spikes", statement("""
 , m AS (
-SELECT window_start, window_end, round(avg((epoch_us(processing_timestamp) - epoch_us(event_timestamp))::DOUBLE / 1000), 6) AS avg_lag_ms
+SELECT window_start, window_end, round(avg((epoch_us(processing_timestamp) - epoch_us(event_timestamp))::DOUBLE / 1000)) AS avg_lag_ms
 FROM classed_5m GROUP BY window_start, window_end)
-SELECT c.window_start, c.window_end, c.avg_lag_ms, round(avg(b.avg_lag_ms), 3) AS baseline,
+SELECT c.window_start, c.window_end, c.avg_lag_ms, round(avg(b.avg_lag_ms), 6) AS baseline,
        coalesce(c.avg_lag_ms > 2.0::DOUBLE * round(avg(b.avg_lag_ms), 6), false) AS is_anomaly
 FROM m c LEFT JOIN m b ON b.window_start BETWEEN c.window_start - INTERVAL 60 MINUTE AND c.window_start - INTERVAL 1 MINUTE
 GROUP BY c.window_start, c.window_end, c.avg_lag_ms""", "classed_5m"))
 def _(spark, folder):
-    monitor = rounded(late.lag_monitor(load_events(spark, folder)), avg_lag_ms=6)
-    return rounded(late.lag_spikes(monitor, 2.0), baseline=3)
+    return late.lag_spikes(late.lag_monitor(load_events(spark, folder)), 2.0)

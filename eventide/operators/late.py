@@ -266,6 +266,7 @@ def lag_monitor(
 
 
 def lag_spikes(monitor: DataFrame, factor: float = 2.0, span: str = "1 hour") -> DataFrame:
-    """Windows whose mean lag exceeds ``factor`` times that of the hour before."""
-    renamed = monitor.withColumn("clicks_per_minute", F.col("avg_lag_ms"))
+    """Windows whose mean lag exceeds ``factor`` times that of the hour before. Lags are compared in
+    whole milliseconds, whose sums are exact, so a flag does not hang on the order of addition."""
+    renamed = monitor.withColumn("clicks_per_minute", F.round("avg_lag_ms"))
     return rate_anomaly(renamed, factor, span).withColumnRenamed("clicks_per_minute", "avg_lag_ms")
