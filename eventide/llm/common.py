@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import pickle
 import uuid
 from collections.abc import Iterator
+from typing import Any
 
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -35,6 +38,15 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def send(spark: SparkSession, model: object) -> Broadcast:
+    """Broadcast a model of bounded size; pickled by value, as executors have no copy of its class."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(model))
+
+
+def received(sent: Broadcast) -> Any:
+    return pickle.loads(sent.value)
+
+
 def small_batches(spark: SparkSession, rows: int = 1000, mb: int = 16) -> None:
     """Bound what one Arrow batch of whole texts holds: a batch ends at ``rows`` rows or ``mb`` MB."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.llm import exact, sharding
-from eventide.llm.common import table
+from eventide.llm import contamination, exact, language, sharding, simhash, toxicity, warc
+from eventide.llm.common import shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -19,6 +19,29 @@ def query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
     return run
 
 
+@query
+def op1_centroid_language(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identify(table(spark, folder, "documents"))
+
+
+@query
+def op2_warc_segments(spark: SparkSession, folder: str) -> DataFrame:
+    found = warc.archive_and_read(table(spark, folder, "pages"), shared_folder(spark, "warc"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+CHECKS["op2_warc_segments"] = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS d, coalesce(html, '') AS h FROM pages),
+g AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS last FROM p)
+SELECT page_id, n AS payload_bytes, d AS payload_digest, CASE WHEN n >= 1000 AND page_id <> last THEN 'revisit' ELSE 'response' END AS record_type,
+CASE WHEN n >= 1000 AND page_id <> last THEN last END AS refers_to FROM g"""
+
+
+@query
+def op3_pivot_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_groups(table(spark, folder, "documents")).drop("fp")
+
+
 @query
 def op4_content_sort(spark: SparkSession, folder: str) -> DataFrame:
     return exact.content_sort(table(spark, folder, "documents"))
@@ -30,6 +53,16 @@ SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc
 FROM n WINDOW w AS (PARTITION BY t)"""
 
 
+@query
+def op5_phrase_index(spark: SparkSession, folder: str) -> DataFrame:
+    return contamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op9_string_kernel_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.judged(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query
 def op10_feistel_shards(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.feistel_shards(table(spark, folder, "documents"))
