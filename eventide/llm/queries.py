@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from eventide.llm import contamination, exact, language, sharding, simhash, toxicity, warc
+import corpus_pipeline
+from eventide.llm import contamination, exact, language, pages, pieces, ppm, sharding, simhash, toxicity, warc
 from eventide.llm.common import shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,6 +58,21 @@ def op5_phrase_index(spark: SparkSession, folder: str) -> DataFrame:
     return contamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+@query
+def op6_pieces_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.encode(table(spark, folder, "documents"))
+
+
+@query
+def op7_page_differencing(spark: SparkSession, folder: str) -> DataFrame:
+    return pages.extract(table(spark, folder, "pages"))
+
+
+@query
+def op8_ppm_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return ppm.scores(table(spark, folder, "documents"))
+
+
 @query
 def op9_string_kernel_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.judged(table(spark, folder, "documents"), table(spark, folder, "labels"))
@@ -66,3 +81,8 @@ def op9_string_kernel_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_feistel_shards(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.feistel_shards(table(spark, folder, "documents"))
+
+
+@query
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    return corpus_pipeline.run(spark, folder)
