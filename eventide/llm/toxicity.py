@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 
 from eventide.llm.common import SPACE, fold, kept, small_batches
 
-DECAY, REACH, LONGEST = 0.6, 5, 24
+DECAY, REACH, POWER, LONGEST = 0.6, 5, 2, 24
 FEATURES = 1 << 20
 EDGE_OPEN, EDGE_CLOSE = "\x02", "\x03"
 SPACED = re.compile(r"(?<!\w)\w(?:[\W_]{1,3}\w(?!\w)){2,}")
+MARKS = re.compile(r"[\W_]+")
 EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 
 
@@ -24,48 +25,51 @@ def units(text: str) -> set[str]:
     """What a text is judged by: its words in lower case, and runs of single letters (``i d i o t``) as one word each."""
     low = text.lower()
     found = set(low.split())
-    found.update(re.sub(r"[\W_]+", "", m) for m in SPACED.findall(low))
+    found.update(MARKS.sub("", m) for m in SPACED.findall(low))
     return found
 
 
 def pieces(unit: str) -> list[str]:
-    """A word without punctuation around it; a longer one as overlapping pieces."""
+    """A word without punctuation around it, and without any if it has some inside; longer ones as overlapping pieces."""
+    if len(unit) <= LONGEST and unit.isalpha():
+        return [unit]
     bare = EDGES.sub("", unit)
-    if len(bare) <= LONGEST:
-        return [bare] if bare else []
-    return [bare[i : i + LONGEST] for i in range(0, len(bare) - LONGEST // 2, LONGEST // 2)]
+    out = []
+    for form in dict.fromkeys((bare, MARKS.sub("", bare))):
+        if len(form) <= LONGEST:
+            out += [form] if form else []
+        else:
+            out += [form[i : i + LONGEST] for i in range(0, len(form) - LONGEST // 2, LONGEST // 2)]
+    return out
+
+
+def triples(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
+    """(word, feature, weight) of three letters in order within REACH + 1 places, by the two gaps."""
+    width = max(map(len, words), default=0) + 2
+    codes = np.array([EDGE_OPEN + w + EDGE_CLOSE for w in words], f"U{width}").view(np.uint32).reshape(len(words), width)
+    for j in range(1, min(REACH, width - 1)):
+        pairs = (codes[:, :-j] * np.uint32(0x9E3779B1) + codes[:, j:]) * np.uint32(0x85EBCA77)
+        for k in range(j + 1, min(REACH, width - 1) + 1):
+            last = codes[:, k:]
+            row, place = np.nonzero(last)
+            mixed = pairs[row, place] + last[row, place] * np.uint32(0xC2B2AE3D)
+            yield row, ((mixed ^ (mixed >> np.uint32(15))) % np.uint32(FEATURES)).astype(np.int64), DECAY ** (k + 1)
 
 
 def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(word, feature, weight): three letters in order within REACH + 1 places weigh DECAY to their span, normalised.
+    """(word, feature, weight): three letters in order weigh DECAY to their span; each word's row is normalised.
 
     The kernel of two words is the dot product of these rows: inserted or left-out letters lower it, they don't void it.
     """
-    if not words:
+    found = list(triples(words))
+    if not found:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
-    width = max(map(len, words)) + 2
-    letters = np.array([list((EDGE_OPEN + w + EDGE_CLOSE).ljust(width, "\0")) for w in words]).view(np.uint32).reshape(len(words), width)
-    codes = letters.astype(np.uint64)
-    owner, feature, weight = [], [], []
-    for j in range(1, REACH):
-        for k in range(j + 1, REACH + 1):
-            if k >= width:
-                continue
-            a, b, c = codes[:, : width - k], codes[:, j : width - k + j], codes[:, k:]
-            row, place = np.nonzero(c)
-            mixed = (a[row, place] * np.uint64(0x9E3779B1) + b[row, place]) * np.uint64(0x85EBCA77) + c[row, place]
-            mixed ^= mixed >> np.uint64(21)
-            owner.append(row)
-            feature.append((mixed % np.uint64(FEATURES)).astype(np.int64))
-            weight.append(np.full(len(row), DECAY ** (k + 1)))
-    if not owner:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
-    key = np.concatenate(owner) * FEATURES + np.concatenate(feature)
+    key = np.concatenate([row * FEATURES + feature for row, feature, _ in found])
     unique, inverse = np.unique(key, return_inverse=True)
-    total = np.bincount(inverse, np.concatenate(weight), len(unique))
-    word, feat = unique // FEATURES, unique % FEATURES
+    total = np.bincount(inverse, np.concatenate([np.full(len(row), weight) for row, _, weight in found]), len(unique))
+    word, feature = unique // FEATURES, unique % FEATURES
     norm = np.sqrt(np.bincount(word, total**2, len(words)))
-    return word, feat, total / norm[word]
+    return word, feature, total / norm[word]
 
 
 @dataclass
@@ -77,7 +81,6 @@ class Landmarks:
     starts: np.ndarray
     owners: np.ndarray
     weights: np.ndarray
-    floor: float = 0.3
 
 
 def landmarks(words: list[str]) -> Landmarks:
@@ -88,7 +91,7 @@ def landmarks(words: list[str]) -> Landmarks:
 
 
 def kernel(words: list[str], marks: Landmarks) -> np.ndarray:
-    """Kernel of each word with each landmark, 0 to 1."""
+    """Kernel of each word with each landmark, 0 to 1: the cosine of their subsequences to the POWER, itself a kernel."""
     word, feature, weight = subsequences(words)
     if not len(word) or not len(marks.features):
         return np.zeros((len(words), len(marks.words)))
@@ -99,66 +102,62 @@ def kernel(words: list[str], marks: Landmarks) -> np.ndarray:
     which = np.repeat(np.arange(len(word)), many)
     at = np.repeat(marks.starts[place], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
     cell = word[which] * len(marks.words) + marks.owners[at]
-    return np.bincount(cell, weight[which] * marks.weights[at], len(words) * len(marks.words)).reshape(len(words), -1)
-
-
-class Similarity:
-    """Per text, the highest kernel of its words with each landmark; values below the floor count as 0."""
-
-    def __init__(self, marks: Landmarks, most: int = 400_000) -> None:
-        self.marks, self.most, self.seen = marks, most, {}
-
-    def learn(self, fresh: list[str]) -> None:
-        for at in range(0, len(fresh), 4000):
-            part = fresh[at : at + 4000]
-            cut = [(i, p) for i, unit in enumerate(part) for p in pieces(unit)]
-            values = kernel([p for _, p in cut], self.marks)
-            for unit in part:
-                self.seen[unit] = None
-            for row in np.flatnonzero(values.max(axis=1, initial=0) >= self.marks.floor):
-                unit = part[cut[row][0]]
-                value = np.where(values[row] >= self.marks.floor, values[row], 0).astype(np.float32)
-                self.seen[unit] = value if self.seen[unit] is None else np.maximum(value, self.seen[unit])
-
-    def rows(self, texts: list[str | None]) -> np.ndarray:
-        out = np.zeros((len(texts), len(self.marks.words)), np.float32)
-        for number, text in enumerate(texts):
-            if not text:
-                continue
-            if len(self.seen) > self.most:
-                self.seen.clear()
-            of = units(text)
-            self.learn([u for u in of if u not in self.seen])
-            for value in filter(lambda v: v is not None, map(self.seen.get, of)):
-                np.maximum(out[number], value, out=out[number])
-        return out
+    return np.bincount(cell, weight[which] * marks.weights[at], len(words) * len(marks.words)).reshape(len(words), -1) ** POWER
 
 
 @dataclass
 class Model:
+    """A word's decision is its kernel with the landmarks times ``vector`` (the Nystroem map folded in) plus ``bias``."""
+
     marks: Landmarks
-    vector: np.ndarray  # of the similarities, the Nystroem map folded in
+    vector: np.ndarray
     bias: float
-    slope: float
-    shift: float
+    slope: float = 1.0
+    shift: float = 0.0
 
-    def scores(self, similarities: np.ndarray) -> np.ndarray:
-        decision = similarities @ self.vector + self.bias
+    def decisions(self, words: list[str]) -> np.ndarray:
+        return kernel(words, self.marks) @ self.vector + self.bias
+
+    def probability(self, decision: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * decision + self.shift, -30, 30)))
 
 
-def _columns(marks: Landmarks | None, model: Model | None, text: Column) -> Column:
-    @F.pandas_udf("array<float>" if model is None else "double")
+class Judge:
+    """The highest decision of a text's words; words once judged are remembered."""
+
+    def __init__(self, model: Model, most: int = 500_000) -> None:
+        self.model, self.most, self.seen = model, most, {}
+        self.lowest = float(model.bias)
+
+    def learn(self, fresh: list[str]) -> None:
+        for at in range(0, len(fresh), 4000):
+            part = fresh[at : at + 4000]
+            cut = [pieces(unit) for unit in part]
+            owner = np.repeat(np.arange(len(part)), [len(c) for c in cut])
+            highest = np.full(len(part), self.lowest)
+            np.maximum.at(highest, owner, self.model.decisions([p for c in cut for p in c]))
+            self.seen.update(zip(part, highest.tolist(), strict=True))
+
+    def decisions(self, texts: list[str | None]) -> np.ndarray:
+        if len(self.seen) > self.most:
+            self.seen.clear()
+        of = [units(text) if text else () for text in texts]
+        self.learn([u for u in set().union(*of) if u not in self.seen])
+        return np.array([max(map(self.seen.__getitem__, found), default=self.lowest) for found in of])
+
+
+def judge_column(model: Model, text: Column, probability: bool = True) -> Column:
+    @F.pandas_udf("double")
     def judge(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        texts = Similarity(marks if model is None else model.marks)
+        texts = Judge(model)
         for batch in batches:
-            rows = texts.rows(list(batch))
-            yield pd.Series(list(rows) if model is None else model.scores(rows), dtype=object if model is None else float)
+            decision = texts.decisions(list(batch))
+            yield pd.Series(model.probability(decision) if probability else decision, dtype=float)
 
     return judge(text)
 
 
-def pick(candidates: list[str], count: int, alike: float = 0.85) -> list[str]:
+def pick(candidates: list[str], count: int, alike: float = 0.75) -> list[str]:
     """The first ``count`` words that aren't nearly the same as one already taken."""
     chosen: list[str] = []
     for at in range(0, len(candidates), 256):
@@ -173,11 +172,11 @@ def pick(candidates: list[str], count: int, alike: float = 0.85) -> list[str]:
     return chosen
 
 
-def machine(x: np.ndarray, y: np.ndarray, cost: float = 1.0, turns: int = 60) -> tuple[np.ndarray, float]:
-    """Linear support vector machine with squared hinge loss and balanced classes, by Newton steps."""
+def machine(x: np.ndarray, y: np.ndarray, cost: float = 3.0, positive: float = 4.0, turns: int = 60) -> tuple[np.ndarray, float]:
+    """Linear support vector machine with squared hinge loss, label 1 weighing ``positive`` times as much, by Newton steps."""
     a = np.hstack([x, np.ones((len(x), 1))])
     sign = np.where(y > 0, 1.0, -1.0)
-    each = np.where(y > 0, len(y) / (2 * max(1, (y > 0).sum())), len(y) / (2 * max(1, (y <= 0).sum()))) * cost
+    each = np.where(y > 0, positive, 1.0) * cost
     w, ridge = np.zeros(a.shape[1]), np.append(np.ones(x.shape[1]), 1e-4)
     for _ in range(turns):
         active = sign * (a @ w) < 1
@@ -204,16 +203,22 @@ def probability(decision: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(w[0]), float(w[1])
 
 
+def variants(word: str) -> list[str]:
+    """The word with a letter doubled or one inserted, at each place inside."""
+    return [word[:i] + c + word[i:] for i in range(1, len(word)) for c in (word[i - 1], "x")] if len(word) > 3 else []
+
+
 def fit(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-    sample: int = 3000, marks: int = 160, folds: int = 3, held: int = 1,
+    sample: int = 8000, marks: int = 128, others: int = 20_000, folds: int = 3, held: int = 1,
 ) -> Model | None:
     """Learn from labelled rows outside fold ``held``; None if they don't hold both classes.
 
-    At most ``sample`` rows of each class are used, those first by a hash of their id (that bound is the only one; all
-    texts used are used whole). Landmarks are the words that most separate the classes, a third of them typical of
-    clean texts; the words' counts stay in Spark, 20 candidates per landmark come to the driver. Nystroem: similarities to
-    the landmarks times the inverse root of the landmarks' own kernel.
+    At most ``sample`` rows of each class are used, those first by a hash of their id (texts are used whole). A toxic text is
+    toxic for some of its words, so each gives one word to learn from: that which most separates the classes (counts
+    stay in Spark); words that do so in many texts are joined by variants of them with a letter more. Against them stand the ``others`` words of clean texts that are most like a landmark. Landmarks are the
+    most separating words, none too like another, and a few clean ones; Nystroem: kernels with them times the inverse root of
+    their own kernel. A text's decision is its words' highest; a sigmoid fitted to the sample's texts makes it a probability.
     """
     small_batches(docs.sparkSession)
     known = labels.where(fold(id_col, folds) != held).where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_y"))
@@ -224,28 +229,46 @@ def fit(
     totals = {r["_y"]: r["n"] for r in rows.groupBy("_y").agg(F.count("*").alias("n")).collect()}
     if len(totals) < 2:
         return None
-    words = rows.select("_y", F.explode(F.array_distinct(F.split(F.lower("_text"), SPACE))).alias("w"))
-    words = words.select("_y", F.regexp_replace("w", r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", "").alias("w")).where(F.length("w").between(3, LONGEST))
-    spread = words.groupBy("w").agg(F.sum("_y").alias("p"), F.sum(1 - F.col("_y")).alias("n")).where("p + n >= 2")
+
+    words = rows.select("_id", "_y", F.explode(F.array_distinct(F.split(F.lower("_text"), SPACE))).alias("w"))
+    bare = F.regexp_replace("w", r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", "")
+    words = words.select("_id", "_y", bare.alias("w")).where(F.length("w").between(3, LONGEST))
+    spread = words.groupBy("w").agg(F.sum("_y").alias("p"), F.sum(1 - F.col("_y")).alias("n"))
     rate = (F.col("p") + F.col("n")) / float(sum(totals.values()))
     z = (F.col("p") / float(totals[1]) - F.col("n") / float(totals[0])) / F.sqrt(rate * (1 - rate) + F.lit(1e-6))
-    ranked = kept(spread.select("w", z.alias("z"), (F.col("p") + F.col("n")).alias("of")))
-    tops = [[r["w"] for r in ranked.where(f"{s}z > 0").orderBy(F.desc(F.expr(f"{s}z")), "w").limit(20 * marks).collect()] for s in ("", "-")]
-    toxic = pick(tops[0], marks - marks // 3)
-    found = landmarks(toxic + [w for w in pick(tops[1], marks // 3) if w not in toxic])
+    share = F.col("p") / float(totals[1]) / (F.col("p") / float(totals[1]) + F.col("n") / float(totals[0]))
+    ranked = kept(spread.select("w", "p", "n", z.alias("z"), share.alias("share")))
+    tops = [[r["w"] for r in ranked.where(x).orderBy(F.desc(F.abs("z")), "w").limit(20 * marks).collect()] for x in ("share > 0.9", "z < 0")]
+    toxic = pick(tops[0], marks - marks // 8)
+    if not toxic:
+        return None
+    found = landmarks(toxic + [w for w in pick(tops[1], marks // 8) if w not in toxic])
+
+    best = words.where("_y = 1").join(ranked.where("share > 0.9"), "w").groupBy("_id").agg(F.max_by("w", F.struct("z", "w")).alias("w"))
+    plain = ranked.where("share > 0.97").where(F.col("p") >= max(3, 0.02 * totals[1])).select("w")
+    guilty = sorted(r["w"] for r in best.select("w").union(plain).distinct().collect())
+    common = {r["w"] for r in plain.collect()}
+    guilty += sorted({v for w in guilty if w in common for v in variants(w)})
+
+    @F.pandas_udf("double")
+    def alike(batch: pd.Series) -> pd.Series:
+        return pd.Series(kernel(list(batch), found).max(axis=1, initial=0), dtype=float)
 
-    data = rows.select("_y", _columns(found, None, F.col("_text")).alias("x")).toPandas()
-    x, y = np.array(data["x"].tolist(), float).reshape(len(data), len(found.words)), data["_y"].to_numpy()
+    clean = ranked.where("n > 0 and share <= 0.9").select("w", alike("w").alias("k")).orderBy(F.desc("k"), "w").limit(others)
+    innocent = [r["w"] for r in clean.collect()]
+    x, y = kernel(guilty + innocent, found), np.repeat([1, 0], [len(guilty), len(innocent)])
     value, vectors = np.linalg.eigh(kernel(found.words, found) + 1e-3 * np.eye(len(found.words)))
     root = vectors @ np.diag(1 / np.sqrt(np.maximum(value, 1e-3))) @ vectors.T
     w, bias = machine(x @ root, y)
-    vector = root @ w
-    return Model(found, vector, bias, *probability(x @ vector + bias, y))
+    model = Model(found, root @ w, bias)
+    data = rows.select("_y", judge_column(model, F.col("_text"), probability=False).alias("x")).toPandas()
+    model.slope, model.shift = probability(data["x"].to_numpy(), data["_y"].to_numpy())
+    return model
 
 
 def score(model: Model | None, text: Column) -> Column:
     """Probability of label 1 for a whole text, null and empty ones too; 0 where nothing could be learned."""
-    return F.lit(0.0) if model is None else _columns(None, model, text)
+    return F.lit(0.0) if model is None else judge_column(model, text)
 
 
 def judged(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: float = 0.7) -> DataFrame:
