@@ -21,8 +21,8 @@ _BOUGHT = """
        round(100.0::DOUBLE * count(*) FILTER (last_event_type = 'purchase') / count(*), 2) AS conversion_rate"""
 
 
-def _sessions(spark, folder, label="12h"):
-    return sessions.session_metrics(load_events(spark, folder), GAPS[label])
+def _sessions(spark, folder, label="12h", pages=True):
+    return sessions.session_metrics(load_events(spark, folder), GAPS[label], pages=pages)
 
 
 for _label, _gap in GAPS.items():
@@ -55,19 +55,19 @@ FROM sessions_{_label} GROUP BY hour""", f"sessions_{_label}"))
 SELECT date_trunc('hour', start_time) AS hour, count(*) AS total_sessions, {_SHARES}
 FROM sessions_{_label} GROUP BY hour ORDER BY hour""", f"sessions_{_label}"))
     def _(spark, folder, label=_label):
-        return sessions.bounce_rate(_sessions(spark, folder, label))
+        return sessions.bounce_rate(_sessions(spark, folder, label, pages=False))
 
     @register(f"session_funnel_{_label}", statement(f"""
 SELECT count(*) AS total_sessions, count(*) FILTER (event_count > 1) AS engaged,
        count(*) FILTER (last_event_type = 'signup') AS added_to_cart, count(*) FILTER (last_event_type = 'purchase') AS purchased
 FROM sessions_{_label}""", f"sessions_{_label}"))
     def _(spark, folder, label=_label):
-        return sessions.session_funnel(_sessions(spark, folder, label), CART, PURCHASE)
+        return sessions.session_funnel(_sessions(spark, folder, label, pages=False), CART, PURCHASE)
 
     @register(f"session_size_histogram_{_label}", statement(f"""
 SELECT event_count, count(*) AS sessions FROM sessions_{_label} GROUP BY event_count""", f"sessions_{_label}"))
     def _(spark, folder, label=_label):
-        return sessions.session_size_histogram(_sessions(spark, folder, label))
+        return sessions.session_size_histogram(_sessions(spark, folder, label, pages=False))
 
 
 @register("session_metrics_window_end", statement("""
@@ -94,12 +94,12 @@ SELECT date_trunc('hour', start_time) AS hour, device_type, country, count(*) AS
        CAST(round(CAST(avg(duration_minutes) AS DECIMAL(18, 6)), 2) AS DOUBLE) AS avg_duration_minutes, {_SHARES}, {_BOUGHT}
 FROM sessions_12h GROUP BY hour, device_type, country""", "sessions_12h"))
 def _(spark, folder):
-    return sessions.session_metrics_hourly(_sessions(spark, folder), PURCHASE)
+    return sessions.session_metrics_hourly(_sessions(spark, folder, pages=False), PURCHASE)
 
 
 @register("bounce_rate_total", statement(f"SELECT count(*) AS total_sessions, {_SHARES} FROM sessions_12h", "sessions_12h"))
 def _(spark, folder):
-    return sessions.bounce_rate(_sessions(spark, folder), by_hour=False)
+    return sessions.bounce_rate(_sessions(spark, folder, pages=False), by_hour=False)
 
 
 @register("sessions_by_device", statement("""
@@ -121,7 +121,7 @@ def _(spark, folder):
 SELECT user_id, count(*) AS session_count, round(avg(duration_minutes), 9) AS avg_duration
 FROM sessions_12h GROUP BY user_id HAVING count(*) > 5""", "sessions_12h"))
 def _(spark, folder):
-    return rounded(sessions.frequent_users(_sessions(spark, folder), 5), avg_duration=9)
+    return rounded(sessions.frequent_users(_sessions(spark, folder, pages=False), 5), avg_duration=9)
 
 
 @register("recent_sessions", statement("""
@@ -182,15 +182,18 @@ def _(spark, folder):
 
 
 _JOURNEYS = """
-SELECT session_id, string_agg(channel, '>' ORDER BY first) AS path,
+SELECT s.session_id, any_value(p.path) AS path,
        coalesce(max(seconds) FILTER (channel = 'web'), 0) AS web_seconds,
        coalesce(max(seconds) FILTER (channel = 'app'), 0) AS app_seconds,
        coalesce(max(seconds) FILTER (channel = 'email'), 0) AS email_seconds, bool_or(bought) AS converted
-FROM (SELECT session_id, channel, min(event_timestamp) AS first, bool_or(event_type = 'purchase') AS bought,
+FROM (SELECT session_id, channel, bool_or(event_type = 'purchase') AS bought,
              round(sum(coalesce((epoch_us(next) - epoch_us(event_timestamp))::DOUBLE / 1e6::DOUBLE, 0)), 9) AS seconds
       FROM (SELECT *, lead(event_timestamp) OVER (PARTITION BY session_id ORDER BY event_timestamp, event_id) AS next FROM assigned_12h)
-      GROUP BY session_id, channel)
-GROUP BY session_id"""
+      GROUP BY session_id, channel) s
+JOIN (SELECT session_id, string_agg(channel, '>' ORDER BY event_timestamp, event_id) AS path FROM (
+        SELECT *, lag(channel) OVER (PARTITION BY session_id ORDER BY event_timestamp, event_id) AS before FROM assigned_12h)
+      WHERE before IS NULL OR before <> channel GROUP BY session_id) p ON s.session_id = p.session_id
+GROUP BY s.session_id"""
 
 
 def _journeys(spark, folder):

@@ -79,11 +79,18 @@ def _(spark, folder):
     return ingest.type_distribution(load_events(spark, folder))
 
 
+@register("sample_rows", statement("SELECT event_id, user_id, event_type, event_timestamp FROM ev ORDER BY seq LIMIT 20", "ev"))
+def _(spark, folder):
+    ordered = load_events(spark, folder).orderBy("seq").select("event_id", "user_id", "event_type", "event_timestamp")
+    return ingest.sample_rows(ordered, 20)
+
+
 @register("union_channels", statement("""
 SELECT channel, event_type, count(*) AS count FROM ev GROUP BY ALL""", "ev"))
 def _(spark, folder):
     ev = load_events(spark, folder)
-    sources = {c: ev.where(F.col("channel") == c).drop("channel") for c in ("web", "app", "email")}
+    names = sorted(r["channel"] for r in ev.select("channel").where("channel is not null").distinct().collect())
+    sources = {c: ev.where(F.col("channel") == c).drop("channel") for c in names}
     return ingest.union_channels(sources).groupBy("channel", "event_type").count()
 
 
@@ -254,6 +261,14 @@ def _(spark, folder):
     return anomalies.rate_anomaly(_rates(spark, folder), 2.0)
 
 
+@register("rate_anomaly_2d", statement(f"""
+SELECT window_start, window_end, clicks_per_minute, mean AS baseline,
+       coalesce(clicks_per_minute > 2.0::DOUBLE * mean, false) AS is_anomaly
+FROM ({_HISTORY.replace('INTERVAL 60 MINUTE', 'INTERVAL 48 HOUR')})""", "rates"))
+def _(spark, folder):
+    return anomalies.rate_anomaly(_rates(spark, folder), 2.0, "48 hours")
+
+
 @register("rate_zscore", statement(f"""
 SELECT window_start, window_end, clicks_per_minute, mean, sd, round(zscore, 3) AS zscore,
        coalesce(abs(zscore) > 3, false) AS is_anomaly
@@ -397,11 +412,12 @@ def _(spark, folder):
 
 
 @register("union_streams", statement("""
-SELECT event_type, count(*) AS count FROM ev WHERE event_type IN ('view', 'click') GROUP BY event_type""", "ev"))
+SELECT event_type, count(*) AS count FROM ev GROUP BY event_type""", "ev"))
 def _(spark, folder):
     ev = load_events(spark, folder)
-    both = rows.only_type(ev, PAGE_VIEW).unionByName(rows.only_type(ev, CLICK))
-    return both.groupBy("event_type").count()
+    views = rows.only_type(ev, PAGE_VIEW)
+    others = ev.where(~F.col("event_type").eqNullSafe(PAGE_VIEW))
+    return views.unionByName(others).groupBy("event_type").count()
 
 
 # Count windows and eviction.

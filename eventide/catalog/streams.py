@@ -7,19 +7,21 @@ the watermark (10 minutes behind the newest event) has passed its end; so says t
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from eventide.catalog.registry import register
+from eventide.catalog.registry import register, rounded
 from eventide.catalog.reports import SCHEMA, clicks_and_profiles
 from eventide.catalog.sql import statement
 from eventide.operators import joins, rows, sessions, windows
 from eventide.session import scratch_folder
 from eventide.sinks import tables
+from eventide.sinks.tables import ForeachBatch
 from eventide.sources import ingest
 from eventide.sources.events import CART, CLICK, PAGE_VIEW, PURCHASE, load_events, stream_events
 from eventide.sources.messages import message_log
-from eventide.streaming import ledger, run, stateful
+from eventide.streaming import blocks, ledger, run, stateful
 
 
 def _final(event_type: str | None = None) -> str:
@@ -105,13 +107,12 @@ def _(spark, folder):
 
 
 @register("partitioned_write", statement("""
-SELECT window_start, window_end, event_type, count, CAST(window_start AS DATE) AS date FROM counts
-WHERE CAST(window_start AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-12'""", "counts"))
+SELECT window_start, window_end, event_type, count, CAST(window_start AS DATE) AS date FROM counts""", "counts"))
 def _(spark, folder):
-    # A table by day; the filter on the day is answered by reading three of its folders.
+    # A table by day, read back whole; a filter on the day would read that day's folder only.
     out = scratch_folder(spark, "by-day")
     tables.partitioned_write(windows.tumbling_count(load_events(spark, folder)), out)
-    return ingest.read_table(spark, out).where(F.col("date").between("2024-01-10", "2024-01-12"))
+    return ingest.read_table(spark, out)
 
 
 @register("stream_tumbling_count", statement(f"SELECT * FROM counts {_final()}", "counts"))
@@ -134,6 +135,51 @@ def _(spark, folder):
     return _appended(windows.sliding_rate(_watermarked(spark, folder), CLICK))
 
 
+@register("stream_sliding_avg", statement(f"""
+SELECT window_start, window_end, user_id, round(avg_value, 6) AS avg_value FROM (
+  SELECT time_bucket(INTERVAL 5 MINUTE, event_timestamp) - to_minutes(5 * i) AS window_start,
+         time_bucket(INTERVAL 5 MINUTE, event_timestamp) - to_minutes(5 * i) + INTERVAL 10 MINUTE AS window_end, user_id, avg(price) AS avg_value
+  FROM ev, range(2) t(i) GROUP BY ALL) {_final()}""", "ev"))
+def _(spark, folder):
+    return rounded(_appended(windows.sliding_avg(_watermarked(spark, folder), "price")), avg_value=6)
+
+
+@register("stream_conversion_rate", statement(f"""
+SELECT * FROM (
+  SELECT time_bucket(INTERVAL 5 MINUTE, event_timestamp) - to_minutes(5 * i) AS window_start,
+         time_bucket(INTERVAL 5 MINUTE, event_timestamp) - to_minutes(5 * i) + INTERVAL 1 HOUR AS window_end,
+         count(*) AS total, count(*) FILTER (event_type = 'purchase') AS conversions,
+         round(100.0::DOUBLE * count(*) FILTER (event_type = 'purchase') / count(*), 2) AS rate
+  FROM ev, range(12) t(i) GROUP BY window_start, window_end) {_final()}""", "ev"))
+def _(spark, folder):
+    return _appended(windows.conversion_rate(_watermarked(spark, folder), PURCHASE))
+
+
+@register("stream_active_sessions", statement(f"""
+SELECT * FROM (
+  SELECT time_bucket(INTERVAL 5 MINUTE, event_timestamp) AS window_start,
+         time_bucket(INTERVAL 5 MINUTE, event_timestamp) + INTERVAL 5 MINUTE AS window_end, count(DISTINCT user_id) AS active
+  FROM ev GROUP BY ALL) {_final()}""", "ev"))
+def _(spark, folder):
+    # Exact: two windows in a row, the second over the time of the first.
+    return _appended(windows.active_sessions(_watermarked(spark, folder)))
+
+
+@register("stream_split", statement("""
+SELECT CASE WHEN kind IN (0, 3, 5) THEN 'undecodable' WHEN kind = 1 THEN 'no user_id' WHEN kind = 2 THEN 'no timestamp' ELSE 'valid' END AS outcome,
+       count(*) AS count
+FROM messages GROUP BY ALL""", "messages"))
+def _(spark, folder):
+    # Valid events and quarantine from one pass over the messages.
+    out = scratch_folder(spark, "split")
+    raw = ingest.read_events(spark, _delivered(message_log(load_events(spark, folder))), "parquet")
+    sink = ingest.split_sink(SCHEMA, f"{out}/good", f"{out}/bad", "offset")
+    run.batch_sink(raw, sink, f"{out}/state", every=None).awaitTermination()
+    bad = spark.read.parquet(f"{out}/bad").select(F.col("reason").alias("outcome"))
+    good = spark.read.parquet(f"{out}/good").select(F.lit("valid").alias("outcome"))
+    return good.unionByName(bad).groupBy("outcome").count()
+
+
 @register("stream_sessions", statement("""
 SELECT * FROM sessions_30m WHERE closes_at <= (SELECT max(event_timestamp) FROM ev) - INTERVAL 10 MINUTE""", "sessions_30m"))
 def _(spark, folder):
@@ -172,8 +218,8 @@ SELECT user_id, block, count(*) AS count, min(event_timestamp) AS first_ts, max(
 FROM (SELECT *, (row_number() OVER (PARTITION BY user_id ORDER BY processing_timestamp, seq) - 1) // 10 AS block FROM ev)
 GROUP BY user_id, block HAVING count(*) = 10""", "ev"))
 def _(spark, folder):
-    with stateful.rocksdb_state(spark):
-        return _appended(stateful.count_windows_stream(stream_events(spark, folder), "user_id", 10))
+    out = _deliveries(spark, folder, lambda path: blocks.count_blocks(path, "user_id", 10))
+    return blocks.full_blocks(spark, out)
 
 
 @register("stream_abandoned_carts", statement("""
@@ -191,8 +237,8 @@ def _(spark, folder):
 def _(spark, folder):
     out = scratch_folder(spark, "complete")
     counts = windows.tumbling_count(stream_events(spark, folder))
-    run.complete_sink(counts, f"{out}/rows", f"{out}/state", every=None).awaitTermination()
-    return spark.read.schema(counts.schema).parquet(f"{out}/rows")
+    run.complete_sink(counts, f"{out}/table", f"{out}/state", every=None).awaitTermination()
+    return run.read_complete(spark, f"{out}/table")
 
 
 @register("stream_upsert_log", statement("SELECT * FROM counts", "counts"))
@@ -219,15 +265,16 @@ classed AS (SELECT *, CASE WHEN mark >= window_end + INTERVAL 5 MINUTE THEN 'too
                            ELSE 'on_time' END AS lateness_class FROM tagged)"""
 
 
-def _ledger_run(spark: SparkSession, folder: str) -> str:
-    out = scratch_folder(spark, "ledger")
+def _deliveries(spark: SparkSession, folder: str, sink: Callable[[str], ForeachBatch]) -> str:
+    """The folder of a foreach-batch sink after the month's events came in three deliveries, with a restart before each."""
+    out = scratch_folder(spark, "deliveries")
     ev = load_events(spark, folder)
     day = F.datediff(F.to_date("processing_timestamp"), F.lit("2024-01-01").cast("date"))
     delivery = F.least(F.floor(day / DAYS).cast("int"), F.lit(DELIVERIES - 1))
     for i in range(DELIVERIES):
         ev.where(delivery == i).write.mode("append").parquet(f"{out}/arrivals")
         arrivals = spark.readStream.schema(ev.schema).parquet(f"{out}/arrivals")
-        run.batch_sink(arrivals, ledger.late_ledger(out), f"{out}/state", every=None).awaitTermination()
+        run.batch_sink(arrivals, sink(out), f"{out}/state", every=None).awaitTermination()
     return out
 
 
@@ -237,7 +284,7 @@ SELECT window_start, window_end, event_type, count(*) AS count,
        OR (count(*) FILTER (lateness_class = 'on_time') = 0 AND count(*) > 1) AS is_late_update
 FROM classed WHERE lateness_class <> 'too_late' GROUP BY window_start, window_end, event_type""", "ev"))
 def _(spark, folder):
-    return ledger.ledger_counts(spark, _ledger_run(spark, folder))
+    return ledger.ledger_counts(spark, _deliveries(spark, folder, ledger.late_ledger))
 
 
 @register("stream_late_events", statement(_CHUNKED + """
@@ -246,4 +293,4 @@ SELECT event_id, event_type, event_timestamp, processing_timestamp,
        window_start, window_end, 'Arrived after allowed lateness' AS reason
 FROM classed WHERE lateness_class = 'too_late'""", "ev"))
 def _(spark, folder):
-    return ledger.ledger_late_events(spark, _ledger_run(spark, folder))
+    return ledger.ledger_late_events(spark, _deliveries(spark, folder, ledger.late_ledger))

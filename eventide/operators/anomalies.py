@@ -14,12 +14,12 @@ PLACES = 6
 def _with_history(rates: DataFrame, span: str, **stats: Column) -> DataFrame:
     """Statistics over the windows starting in ``[start - span, start - 1 minute]``.
 
-    Partitioned by day: the rows of a day's last ``span`` are copied into the next day so that its
-    first windows see their whole history, and the copies are dropped afterwards.
+    Partitioned by day: a row is copied into every later day that its ``span`` reaches, so that those
+    days' windows see their whole history, and the copies are dropped afterwards.
     """
     width = duration_micros(span)
     day, spill = F.to_date("window_start"), F.to_date(plus(F.col("window_start"), width))
-    days = F.when(day == spill, F.array(day)).otherwise(F.array(day, spill))
+    days = F.sequence(day, spill)
     spread = rates.withColumn("_day", F.explode(days)).withColumn("_at", F.unix_micros("window_start"))
     before = Window.partitionBy("_day").orderBy("_at").rangeBetween(-width, -_MINUTE)
     with_stats = spread.select("*", *[s.over(before).alias(n) for n, s in stats.items()])
@@ -57,13 +57,16 @@ def baseline_theta_join(rates: DataFrame, baseline: DataFrame, factor: float = 2
     """Windows exceeding ``factor`` times a baseline that starts no later than they do.
 
     Comparing with every earlier baseline is settled by the lowest of them, so the inequality join
-    becomes an equality join on the hour with a running minimum over the hourly rows: one row per
-    alerting window, not one per (window, baseline) pair.
+    becomes an equality join on the hour with a running minimum over the hours of both sides (one row
+    per hour): one row per alerting window, not one per (window, baseline) pair. An hour without a
+    baseline of its own has the lowest of the hours before. Baselines start on the hour.
     """
     lowest = F.min("baseline_avg").over(
-        Window.partitionBy(F.lit(0)).orderBy("baseline_start").rowsBetween(Window.unboundedPreceding, 0)
+        Window.partitionBy(F.lit(0)).orderBy("_hour").rowsBetween(Window.unboundedPreceding, 0)
     )
-    so_far = baseline.select(F.col("baseline_start").alias("_hour"), lowest.alias("baseline_avg"))
     hour = F.date_trunc("hour", "window_start")
+    known = baseline.select(F.col("baseline_start").alias("_hour"), "baseline_avg")
+    hours = known.unionByName(rates.select(hour.alias("_hour")).distinct(), allowMissingColumns=True)
+    so_far = hours.groupBy("_hour").agg(F.min("baseline_avg").alias("baseline_avg")).select("_hour", lowest.alias("baseline_avg"))
     joined = rates.withColumn("_hour", hour).join(so_far, "_hour").drop("_hour")
     return joined.where(F.col("clicks_per_minute") > F.lit(factor) * F.col("baseline_avg"))

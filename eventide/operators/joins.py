@@ -17,8 +17,10 @@ def interval_join(
     Column names of the two sides must differ except for the key. In batch the time range becomes
     an equality on a slot as long as the range: a right row is put into its own slot and the next,
     so a heavy key is spread over its slots. A stream-stream join gets the plain range condition,
-    from which Spark derives how long to keep state.
+    from which Spark derives how long to keep state. ``how`` is any join type of Spark; right rows that
+    meet nothing come from an anti-join, as each of their two copies would look unmatched, and keep their key.
     """
+    how = how.replace("_", "").removesuffix("outer")
     width = duration_micros(lower)
     in_range = (F.col(right_time) >= plus(F.col(left_time), -width)) & (F.col(right_time) <= F.col(left_time))
     other = f"_{key}"
@@ -26,6 +28,14 @@ def interval_join(
     if left.isStreaming or right.isStreaming:
         bounded = (F.col(right_time) >= F.col(left_time) - F.expr(f"INTERVAL {lower}")) & (F.col(right_time) <= F.col(left_time))
         return left.join(right, (F.col(key) == F.col(other)) & bounded, how).drop(other)
+    if how in ("right", "full"):
+        kept = "left" if how == "full" else "inner"
+        met = interval_join(left, right.withColumnRenamed(other, key), key, left_time, right_time, lower, kept)
+        own = slot(F.col(left_time), width)
+        seen = left.select(key, left_time, F.explode(F.array(own, own - width)).alias("_slot"))
+        same = (F.col(key) == F.col(other)) & (F.col("_slot") == slot(F.col(right_time), width))
+        alone = right.join(seen, same & in_range, "left_anti").withColumnRenamed(other, key)
+        return met.unionByName(alone, allowMissingColumns=True)
     own = slot(F.col(right_time), width)
     right = right.withColumn("_right_slot", F.explode(F.array(own, own + width)))
     left = left.withColumn("_left_slot", slot(F.col(left_time), width))
@@ -41,8 +51,12 @@ def asof_join(
 
     Both sides are put in one order and the newest right row is carried along as a running maximum
     over runs: no pairs are formed, and neither a heavy key nor a heavy moment ends up in one task.
-    Right rows of one moment rank by their columns in schema order.
+    Right rows of one moment rank by their columns in schema order. As in any join a null key matches
+    nothing, and nor does a null time.
     """
+    unkeyed = left.where(F.col(key).isNull() | F.col(left_time).isNull())
+    left = left.where(F.col(key).isNotNull() & F.col(left_time).isNotNull())
+    right = right.where(F.col(key).isNotNull() & F.col(right_time).isNotNull())
     values = [c for c in right.columns if c not in (key, right_time)]
     found = F.struct(F.col(right_time), *[F.col(c) for c in values])
     row = F.struct(*[F.col(c) for c in left.columns if c != key])
@@ -55,7 +69,8 @@ def asof_join(
     out = met.where(F.col("_side") == 1).withColumn("_match", F.when(fresh, F.col("_newest")))
     if how == "inner":
         out = out.where(F.col("_match").isNotNull())
-    return out.select(
+    joined = out.select(
         *[F.col(key) if c == key else F.col("_row")[c].alias(c) for c in left.columns],
         *[F.col("_match")[c].alias(c) for c in (right_time, *values)],
     )
+    return joined if how == "inner" else joined.unionByName(unkeyed, allowMissingColumns=True)

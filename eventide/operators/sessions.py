@@ -48,6 +48,11 @@ def session_id(user: Column, start: Column) -> Column:
     return F.concat(user, F.lit("-"), epoch_millis(start))
 
 
+def is_type(event_type: str) -> Column:
+    """1 for events of the type, 0 for others and for events without one."""
+    return F.coalesce(F.col("event_type") == event_type, F.lit(False)).cast("long")
+
+
 def session_totals(
     ev: DataFrame, gap: str = GAP, *, sums: dict[str, Column] | None = None
 ) -> DataFrame:
@@ -86,7 +91,7 @@ def assign_sessions(ev: DataFrame, gap: str = GAP) -> DataFrame:
     return numbered.withColumn("session_id", identity).drop("_start", "_run")
 
 
-def _shape(df: DataFrame, gap: str, end: str) -> DataFrame:
+def _shape(df: DataFrame, gap: str, end: str, *more: str) -> DataFrame:
     """Final columns from (user_id, start_time, last_time, ...) rows."""
     closes = plus(F.col("_last"), duration_micros(gap))
     until = F.col("_last") if end == "last_event" else closes
@@ -95,7 +100,7 @@ def _shape(df: DataFrame, gap: str, end: str) -> DataFrame:
         .withColumn("closes_at", closes)
         .withColumn("end_time", until)
         .withColumn("duration_minutes", F.round(minutes_between(F.col("start_time"), F.col("end_time")), 2))
-        .select(*SESSION_COLUMNS)
+        .select(*SESSION_COLUMNS, *more)
     )
 
 
@@ -116,18 +121,39 @@ def _metrics(pages: Column) -> list[Column]:
     ]
 
 
-def session_metrics(ev: DataFrame, gap: str = GAP, end: str = "last_event") -> DataFrame:
+def session_metrics(
+    ev: DataFrame, gap: str = GAP, end: str = "last_event", *, pages: bool = True, sums: dict[str, Column] | None = None
+) -> DataFrame:
     """One row per session. ``end`` is the last event, or ``window_end`` = last event + gap.
 
-    Events meet their session through the slice table: the join key is (user, slice), so a heavy
-    user is spread over its slices and a heavy slice can be split by AQE; the metrics, distinct
-    pages included, are partially aggregated right after the join.
+    Everything but the pages is a minimum, maximum or sum, and so part of the slice aggregation: single
+    events are not shuffled. Pages are reduced to (user, slice, page) before they meet the slices; reports
+    that need no page count leave them out (``pages=False``, the column is then null). ``sums`` are
+    further columns, each the sum of an expression over the session's events.
     """
-    sessions = session_slices(ev, gap).select("user_id", SLICE, F.col("session_start").alias("start_time"))
-    needed = ["user_id", SLICE, "event_timestamp", "event_id", "event_type", "page_url", "device_type", "country"]
-    joined = with_slice(ev, gap).select(*needed).join(sessions, ["user_id", SLICE])
-    grouped = joined.groupBy("user_id", "start_time").agg(*_metrics(F.count_distinct("page_url")))
-    return _shape(grouped, gap, end)
+    at, sums = F.struct(*ORDER), sums or {}
+
+    def known(column: str) -> Column:
+        return F.min(F.when(F.col(column).isNotNull(), F.struct(*ORDER, F.col(column).alias("value"))))
+
+    typed = F.struct(*ORDER, F.col("event_type").alias("value"))
+    slices = session_slices(
+        ev, gap, _n=F.count(at), _first=F.min(typed), _late=F.max(typed), _device=known("device_type"), _country=known("country"),
+        **{f"_sum_{n}": F.sum(c) for n, c in sums.items()},
+    )
+    rows = slices.groupBy("user_id", F.col("session_start").alias("start_time")).agg(
+        F.max("_to").alias("_last"), F.sum("_n").alias("event_count"), F.min("_first")["value"].alias("first_event_type"),
+        F.max("_late")["value"].alias("last_event_type"), F.min("_device")["value"].alias("device_type"), F.min("_country")["value"].alias("country"),
+        *[F.sum(f"_sum_{n}").alias(n) for n in sums],
+    )
+    if not pages:
+        return _shape(rows.withColumn("pages_visited", F.lit(None).cast("long")), gap, end, *sums)
+    usable = ev.where(F.col("event_timestamp").isNotNull() & F.col("user_id").isNotNull() & F.col("page_url").isNotNull())
+    seen = with_slice(usable, gap).select("user_id", SLICE, "page_url").distinct()
+    starts = session_slices(ev, gap).select("user_id", SLICE, F.col("session_start").alias("start_time"))
+    counted = seen.join(starts, ["user_id", SLICE]).groupBy("user_id", "start_time").agg(F.count_distinct("page_url").alias("_pages"))
+    rows = rows.join(counted, ["user_id", "start_time"], "left").withColumn("pages_visited", F.coalesce("_pages", F.lit(0)))
+    return _shape(rows, gap, end, *sums)
 
 
 def session_metrics_stream(
@@ -147,17 +173,11 @@ def session_facts(
     ev: DataFrame, gap: str = GAP, view: str = "page_view", cart: str = "add_to_cart",
     purchase: str = "purchase", amount: str = "price",
 ) -> DataFrame:
-    """Session metrics plus page views, cart additions and purchase amount."""
-    kind = F.col("event_type")
-    extra = session_totals(
-        ev, gap,
-        sums={
-            "page_views": (kind == view).cast("long"),
-            "cart_additions": (kind == cart).cast("long"),
-            "purchase_amount": F.when(kind == purchase, F.col(amount)).otherwise(F.lit(0.0)),
-        },
-    ).select("user_id", F.col("session_start").alias("start_time"), "page_views", "cart_additions", "purchase_amount")
-    return session_metrics(ev, gap).join(extra, ["user_id", "start_time"])
+    """Session metrics plus page views, cart additions and purchase amount, all from one aggregation."""
+    spent = F.when(F.col("event_type") == purchase, F.col(amount)).otherwise(F.lit(0.0))
+    return session_metrics(
+        ev, gap, sums={"page_views": is_type(view), "cart_additions": is_type(cart), "purchase_amount": F.coalesce(spent, F.lit(0.0))}
+    )
 
 
 # Reports over session rows.
@@ -258,10 +278,7 @@ def abandoned_carts(
     """Sessions with cart additions, no purchase and no event for longer than ``idle`` before
     ``as_of`` (default: the newest event time)."""
     as_of = ev.agg(F.max("event_timestamp")).scalar() if as_of is None else as_of
-    kind = F.col("event_type")
-    totals = session_totals(
-        ev, gap, sums={"items_added": (kind == cart).cast("long"), "_bought": (kind == purchase).cast("long")}
-    )
+    totals = session_totals(ev, gap, sums={"items_added": is_type(cart), "_bought": is_type(purchase)})
     left = totals.where((F.col("items_added") > 0) & (F.col("_bought") == 0))
     left = left.withColumn("_idle", F.unix_micros(as_of) - F.unix_micros("session_end"))
     return left.where(F.col("_idle") > duration_micros(idle)).select(
@@ -342,9 +359,6 @@ def funnel(ev: DataFrame, stages: list[str], gap: str = GAP, names: list[str] |
     )
 
 
-_PLACE = "struct<event_timestamp:timestamp,event_id:string>"
-
-
 def _linked_channels(ev: DataFrame, gap: str) -> DataFrame:
     """Events with their session's start and the user's event before them (time and channel)."""
     keys, at = ["user_id"], F.col("event_timestamp")
@@ -362,40 +376,55 @@ def _linked_channels(ev: DataFrame, gap: str) -> DataFrame:
     return running(linked(runs), keys, ORDER, totals_from=linked(split), session_start=start)
 
 
+NO_CHANNEL = "(none)"  # what a path calls events without a channel
+
+
+def _enters() -> Column:
+    return F.col("_opens") | ~F.col("channel").eqNullSafe(F.col("_prev.channel"))
+
+
 def journey_steps(ev: DataFrame, gap: str = GAP) -> DataFrame:
     """The whole journey in row form: one row per entry into a channel within a session."""
-    enters = F.col("_opens") | (F.col("channel") != F.col("_prev.channel"))
-    return _linked_channels(ev, gap).where(enters).select(
+    return _linked_channels(ev, gap).where(_enters()).select(
         session_id(F.col("user_id"), F.col("session_start")).alias("session_id"),
         "user_id", "channel", F.col("event_timestamp").alias("entered_at"),
     )
 
 
-def channel_journeys(ev: DataFrame, gap: str = GAP, purchase: str = "purchase") -> DataFrame:
-    """Per session: channels in order of first touch, seconds spent per channel, conversion.
+def channel_journeys(ev: DataFrame, gap: str = GAP, purchase: str = "purchase", longest: int = 1000) -> DataFrame:
+    """Per session: the sequence of channels it went through, seconds spent per channel, conversion.
 
-    The time between two events of a session counts for the channel of the earlier one. Path and
-    map have at most one entry per channel, however long the session.
+    A channel is listed each time the session enters it (``web>app>web``). The time between two events of a
+    session counts for the channel of the earlier one; an event without a channel is at ``(none)``. A path of
+    more than ``longest`` entries lists that many and ends in a checksum over all of them with their places, so
+    paths still count as different while no session's entries are gathered without bound.
     """
-    linked = _linked_channels(ev, gap)
+    named = F.coalesce("channel", F.lit(NO_CHANNEL))
+    linked = _linked_channels(ev, gap).withColumn("_enters", _enters())
     dwell = F.when(~F.col("_opens"), (F.unix_micros("event_timestamp") - F.unix_micros("_prev.event_timestamp")) / F.lit(1e6))
-    bought = (F.col("event_type") == purchase).cast("int")
-    here = F.struct(F.col("channel").alias("channel"), F.struct(*ORDER).alias("first"), F.lit(0.0).alias("seconds"), bought.alias("bought"))
-    there = F.struct(
-        F.col("_prev.channel").alias("channel"), F.lit(None).cast(_PLACE).alias("first"), dwell.alias("seconds"), F.lit(0).alias("bought")
-    )
+    bought = is_type(purchase)
+    here = F.struct(named.alias("channel"), F.lit(0.0).alias("seconds"), bought.alias("bought"))
+    there = F.struct(F.coalesce("_prev.channel", F.lit(NO_CHANNEL)).alias("channel"), dwell.alias("seconds"), F.lit(0).cast("long").alias("bought"))
     both = F.when(F.col("_opens"), F.array(here)).otherwise(F.array(here, there))
     per_channel = linked.select("user_id", "session_start", F.inline(both)).groupBy("user_id", "session_start", "channel").agg(
-        F.min("first").alias("first"), F.sum("seconds").alias("seconds"), F.max("bought").alias("bought")
+        F.sum("seconds").alias("seconds"), F.max("bought").alias("bought")
     )
-    entries = F.array_sort(F.collect_list(F.struct("first", "channel", "seconds")))
-    return per_channel.groupBy("user_id", "session_start").agg(
-        entries.alias("_entries"), (F.max("bought") == 1).alias("converted")
-    ).select(
-        session_id(F.col("user_id"), F.col("session_start")).alias("session_id"),
-        F.array_join(F.transform("_entries", lambda e: e["channel"]), ">").alias("path"),
-        F.map_from_entries(F.transform("_entries", lambda e: F.struct(e["channel"], e["seconds"]))).alias("seconds_per_channel"),
-        "converted",
+    spent = per_channel.groupBy("user_id", "session_start").agg(
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct("channel", "seconds")))).alias("seconds_per_channel"), (F.max("bought") == 1).alias("converted")
+    )
+
+    entries = linked.where("_enters").select("user_id", "session_start", *ORDER, named.alias("channel"))
+    keys = ["user_id", "session_start"]
+    placed = running(ordered_runs(entries, keys, ORDER), keys, ORDER, _place=Running("sum", F.lit(1)))
+    listed = F.when(F.col("_place") <= longest, F.struct("_place", "channel"))
+    paths = placed.groupBy(*keys).agg(
+        F.array_sort(F.collect_list(listed)).alias("_listed"), F.count(F.lit(1)).alias("_entries"),
+        F.sum(F.xxhash64("_place", "channel").cast("decimal(38,0)")).alias("_sum"),
+    )
+    path = F.array_join(F.transform("_listed", lambda e: e["channel"]), ">")
+    path = F.when(F.col("_entries") > longest, F.concat_ws(">", path, F.concat(F.lit("#"), F.col("_sum").cast("string")))).otherwise(path)
+    return spent.join(paths, keys).select(
+        session_id(F.col("user_id"), F.col("session_start")).alias("session_id"), path.alias("path"), "seconds_per_channel", "converted"
     )
 
 

@@ -150,13 +150,20 @@ def top_products(
 def conversion_rate(
     ev: DataFrame, purchase_type: str = "purchase", size: str = "1 hour", slide: str = "5 minutes"
 ) -> DataFrame:
-    bought = (F.col("event_type") == purchase_type).cast("long")
+    bought = F.coalesce(F.col("event_type") == purchase_type, F.lit(False)).cast("long")
     sums = sliding_sums(ev, size, slide, total=F.lit(1), conversions=bought)
     return sums.withColumn("rate", percent(F.col("conversions"), F.col("total")))
 
 
-def active_sessions(ev: DataFrame, size: str = "5 minutes", approximate: bool | None = None) -> DataFrame:
-    """Users seen per window. Exact in batch; a stream cannot count distinct exactly within
-    bounded state, so it estimates unless told otherwise."""
-    users = F.approx_count_distinct("user_id") if (approximate or (approximate is None and ev.isStreaming)) else F.count_distinct("user_id")
-    return ev.groupBy(F.window("event_timestamp", size)).agg(users.alias("active")).select(*_bounds(), "active")
+def active_sessions(ev: DataFrame, size: str = "5 minutes", approximate: bool = False) -> DataFrame:
+    """Users seen per window, exactly, in batch and on a stream; ``approximate`` estimates with a sketch.
+
+    A row per window and user is counted per window in a second step. On a stream that is a second window
+    over the first one's time, and the watermark clears the state of both. Null users are not counted.
+    """
+    if approximate:
+        counted = ev.groupBy(F.window("event_timestamp", size)).agg(F.approx_count_distinct("user_id").alias("active"))
+        return counted.select(*_bounds(), "active")
+    users = ev.groupBy(F.window("event_timestamp", size), "user_id").agg(F.count(F.lit(1)).alias("_events"))
+    at = F.window(F.window_time("window"), size) if ev.isStreaming else F.col("window")
+    return users.groupBy(at.alias("window")).agg(F.count("user_id").alias("active")).select(*_bounds(), "active")

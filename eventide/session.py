@@ -14,8 +14,11 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A checkpoint's files go when nothing refers to it any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # On a stream, merge a user's sessions in each task before they are shuffled.
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def build_session(app: str = "eventide", master: str | None = None, **extra: str) -> SparkSession:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -86,20 +85,30 @@ def append_rows(path: str, fmt: str = "parquet") -> ForeachBatch:
     return write
 
 
-def jdbc_sink(url: str, table: str, batch_rows: int = 100, retries: int = 3, **properties: str) -> ForeachBatch:
-    """Insert micro-batches into a database table in batches of ``batch_rows``, retrying a failed
-    write. Needs a JDBC driver on the classpath. Spark inserts only: to upsert, let ``table`` be a
-    staging table and merge it in the database."""
+def upsert_statement(table: str, staging: str, columns: Sequence[str], keys: Sequence[str], update_cols: Sequence[str], batch_id: int) -> str:
+    """SQL that merges a batch's staged rows into ``table``: new keys are inserted, known ones get ``update_cols``.
+
+    Running it again changes nothing, also if a repeated write has staged rows twice.
+    """
+    quoted = lambda names: ", ".join(f'"{n}"' for n in names)
+    sets = ", ".join(f'"{c}" = EXCLUDED."{c}"' for c in update_cols)
+    action = f"UPDATE SET {sets}" if sets else "NOTHING"
+    return (
+        f"INSERT INTO {table} ({quoted(columns)}) SELECT DISTINCT ON ({quoted(keys)}) {quoted(columns)} FROM {staging} "
+        f"WHERE {BATCH} = {int(batch_id)} ORDER BY {quoted(keys)} ON CONFLICT ({quoted(keys)}) DO {action}"
+    )
+
+
+def jdbc_sink(url: str, staging: str, batch_rows: int = 100, connections: int = 8, **properties: str) -> ForeachBatch:
+    """Stage micro-batches in a database table, each row with its ``batch_id``, over at most ``connections`` connections.
+
+    Spark's writer only inserts, and a failed task or a replayed batch inserts rows again: :func:`upsert_statement`, run in the
+    database per batch, merges staged rows by key whatever their number. Needs a JDBC driver on the classpath; a failed
+    batch is repeated by the stream.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        for attempt in range(retries + 1):
-            try:
-                writer = batch.write.format("jdbc").mode("append").options(url=url, dbtable=table, batchsize=batch_rows)
-                writer.options(**properties).save()
-                return
-            except Exception:
-                if attempt == retries:
-                    raise
-                time.sleep(1)
+        writer = batch.withColumn(BATCH, F.lit(batch_id)).write.format("jdbc").mode("append")
+        writer.options(url=url, dbtable=staging, batchsize=batch_rows, numPartitions=connections, **properties).save()
 
     return write

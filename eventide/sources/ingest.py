@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from eventide.sinks.tables import BATCH, ForeachBatch
+
 # Columns of a message, as Spark's Kafka source names them.
 ENVELOPE = T.StructType(
     [
@@ -17,10 +20,16 @@ ENVELOPE = T.StructType(
         T.StructField("timestamp", T.TimestampType()),
     ]
 )
-MUST_HAVE = ("event_id", "user_id", "timestamp")
+# The contract's required fields that both shapes of producers send; a stricter list can be given.
+MUST_HAVE = ("event_id", "user_id", "event_type", "timestamp")
 _BROKEN = "_broken"
 
 
+def contract_fields(schema: T.StructType) -> tuple[str, ...]:
+    """Every field that the contract declares as never null."""
+    return tuple(f.name for f in schema.fields if not f.nullable)
+
+
 def read_events(
     spark: SparkSession, source: str | list[str], fmt: str = "kafka", *, streaming: bool = True, **options: str
 ) -> DataFrame:
@@ -51,14 +60,14 @@ def _decoded(schema: T.StructType) -> Column:
     return F.from_json(F.col("value").cast("string"), relaxed, options)
 
 
-def _judged(schema: T.StructType) -> Column:
+def _judged(schema: T.StructType, required: Sequence[str]) -> Column:
     """One-element array of the decoded message and what is wrong with it. Being an array element
     makes the optimizer decode once: a filter on a decoded column would be pushed below the
     projection and decode again."""
 
     def fault(data: Column) -> Column:
         found = F.when(data.isNull() | data[_BROKEN].isNotNull(), "undecodable")
-        for name in MUST_HAVE:
+        for name in required:
             if name in schema.names:
                 found = found.when(data[name].isNull(), f"no {name}")
         return found
@@ -71,18 +80,38 @@ def parse_events(raw: DataFrame, schema: T.StructType) -> DataFrame:
     return raw.select(_decoded(schema).alias("_data")).select(*[F.col(f"_data.{f.name}") for f in schema.fields])
 
 
-def valid_events(raw: DataFrame, schema: T.StructType) -> DataFrame:
-    """Contract columns of the messages that decode and carry id, user and event time."""
-    good = F.filter(_judged(schema), lambda m: m["reason"].isNull())
+def valid_events(raw: DataFrame, schema: T.StructType, required: Sequence[str] = MUST_HAVE) -> DataFrame:
+    """Contract columns of the messages that decode and carry the ``required`` fields."""
+    good = F.filter(_judged(schema, required), lambda m: m["reason"].isNull())
     return raw.select(F.inline(good)).select(*[F.col(f"data.{f.name}") for f in schema.fields])
 
 
-def quarantine(raw: DataFrame, schema: T.StructType, *keep: str) -> DataFrame:
+def quarantine(raw: DataFrame, schema: T.StructType, *keep: str, required: Sequence[str] = MUST_HAVE) -> DataFrame:
     """The other messages, as text, with the reason and the envelope columns named in ``keep``."""
-    bad = F.filter(_judged(schema), lambda m: m["reason"].isNotNull())
+    bad = F.filter(_judged(schema, required), lambda m: m["reason"].isNotNull())
     return raw.select(*keep, F.col("value").cast("string").alias("value"), F.inline(bad)).drop("data")
 
 
+def judged_events(raw: DataFrame, schema: T.StructType, *keep: str, required: Sequence[str] = MUST_HAVE) -> DataFrame:
+    """Every message once: ``data`` (contract columns) where ``reason`` is null, else the reason and the text."""
+    return raw.select(*keep, F.col("value").cast("string").alias("value"), F.inline(_judged(schema, required)))
+
+
+def split_sink(schema: T.StructType, good: str, bad: str, *keep: str, required: Sequence[str] = MUST_HAVE) -> ForeachBatch:
+    """Foreach-batch writer of valid events to ``good`` and of the others to ``bad``, decoding each message once."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        judged = judged_events(batch, schema, *keep, required=required).persist()
+        try:
+            right = judged.where("reason is null").select(*[F.col(f"data.{f.name}") for f in schema.fields])
+            right.write.mode("overwrite").parquet(f"{good}/{BATCH}={batch_id}")
+            judged.where("reason is not null").drop("data").write.mode("overwrite").parquet(f"{bad}/{BATCH}={batch_id}")
+        finally:
+            judged.unpersist()
+
+    return write
+
+
 def union_channels(channels: dict[str, DataFrame]) -> DataFrame:
     """Events of several sources in one frame, labelled with their channel."""
     labelled = [df.withColumn("channel", F.lit(name)) for name, df in channels.items()]

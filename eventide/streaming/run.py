@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from eventide.sinks.tables import ForeachBatch
+from eventide.sinks.tables import BATCH, ForeachBatch
 
 
 def _trigger(every: str | None) -> dict:
@@ -23,15 +23,27 @@ def append_sink(
 def complete_sink(
     df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", every: str | None = "30 seconds"
 ) -> StreamingQuery:
-    """Replace the whole table with every micro-batch's result."""
+    """Replace the whole table with every micro-batch's result; see :func:`read_complete`.
+
+    A batch writes a folder of its own and names it in ``done`` when it is whole, so readers see the last whole
+    table at any time and a crash leaves that one.
+    """
 
     def replace(result: DataFrame, batch_id: int) -> None:
-        result.write.format(fmt).mode("overwrite").save(path)
+        result.write.format(fmt).mode("overwrite").save(f"{path}/rows/{BATCH}={batch_id}")
+        done = result.sparkSession.range(batch_id, batch_id + 1).toDF("batch")
+        done.coalesce(1).write.mode("overwrite").parquet(f"{path}/done/{BATCH}={batch_id}")
 
     writer = df.writeStream.outputMode("complete").foreachBatch(replace)
     return writer.option("checkpointLocation", checkpoint).trigger(**_trigger(every)).start()
 
 
+def read_complete(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """The newest whole table that :func:`complete_sink` wrote."""
+    newest = spark.read.parquet(f"{path}/done").agg(F.max("batch")).first()[0]
+    return spark.read.format(fmt).load(f"{path}/rows/{BATCH}={newest}")
+
+
 def batch_sink(df: DataFrame, write: ForeachBatch, checkpoint: str, mode: str = "append", every: str | None = "30 seconds") -> StreamingQuery:
     writer = df.writeStream.outputMode(mode).foreachBatch(write)
     return writer.option("checkpointLocation", checkpoint).trigger(**_trigger(every)).start()

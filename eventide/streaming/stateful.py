@@ -1,78 +1,11 @@
-"""Operators that need state of their own on a stream."""
+"""Alerts from open sessions on a stream."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
-
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql import DataFrame, functions as F
 
 from eventide.functions.timing import duration_micros
-from eventide.operators.sessions import GAP, session_id
-from eventide.session import ROCKSDB
-
-
-@contextmanager
-def rocksdb_state(spark: SparkSession):
-    """Use the RocksDB state store, which custom state needs, for queries started inside."""
-    name = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, ROCKSDB)
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before) if before else spark.conf.unset(name)
-
-
-class _Blocks(StatefulProcessor):
-    """Counts a key's events and emits a row whenever ``n`` are complete. The state is four numbers."""
-
-    def __init__(self, key: str, n: int, ttl_ms: int | None):
-        self.key, self.n, self.ttl_ms = key, n, ttl_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.open = handle.getValueState("open", "block long, n long, first long, last long", self.ttl_ms)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        block, have, first, last = self.open.get() if self.open.exists() else (0, 0, None, None)
-        full = []
-        for chunk in rows:
-            at = chunk.sort_values(["arrived", "arrival_no"])["at"].to_numpy()
-            while len(at):
-                part, at = at[: self.n - have], at[self.n - have :]
-                have += len(part)
-                first = int(part.min()) if first is None else min(first, int(part.min()))
-                last = int(part.max()) if last is None else max(last, int(part.max()))
-                if have == self.n:
-                    full.append((key[0], block, self.n, first, last))
-                    block, have, first, last = block + 1, 0, None, None
-        self.open.update((block, have, first or 0, last or 0)) if have else self.open.update((block, 0, None, None))
-        yield pd.DataFrame(full, columns=[self.key, "block", "count", "first", "last"])
-
-    def close(self) -> None:
-        pass
-
-
-def count_windows_stream(ev: DataFrame, key: str = "user_id", n: int = 100, ttl: str | None = None) -> DataFrame:
-    """Blocks of ``n`` events per key, emitted as they fill. With ``ttl`` a key's open block is
-    forgotten after that much processing time without events; such a stream runs on processing
-    time and, with nothing left to read, keeps waiting for it instead of ending."""
-    narrow = ev.select(
-        key, F.unix_micros("event_timestamp").alias("at"), F.unix_micros("processing_timestamp").alias("arrived"),
-        F.col("seq").alias("arrival_no"),
-    )
-    ttl_ms = duration_micros(ttl) // 1000 if ttl else None
-    blocks = narrow.groupBy(key).transformWithStateInPandas(
-        statefulProcessor=_Blocks(key, n, ttl_ms),
-        outputStructType=f"{key} string, block long, count long, first long, last long",
-        outputMode="append",
-        timeMode="ProcessingTime" if ttl else "None",
-    )
-    return blocks.select(
-        key, "block", "count", F.timestamp_micros("first").alias("first_ts"), F.timestamp_micros("last").alias("last_ts")
-    )
+from eventide.operators.sessions import GAP, is_type, session_id
 
 
 def abandoned_carts_stream(
@@ -83,17 +16,18 @@ def abandoned_carts_stream(
 
     A session window comes out when the watermark passes last event + gap. Holding the watermark
     back by idle - gap on top of the disorder makes that the moment the session has been idle for
-    ``idle``; no timers or user state are needed.
+    ``idle``; no timers or user state are needed. An ``idle`` under ``gap`` is refused: such a session may still go on.
     """
+    if duration_micros(idle) < duration_micros(gap):
+        raise ValueError(f"idle ({idle}) must be at least the session gap ({gap})")
     hold = duration_micros(ooo) + duration_micros(idle) - duration_micros(gap)
-    kind = F.col("event_type")
     sessions = ev.withWatermark("event_timestamp", f"{hold // 1000} milliseconds").groupBy(
         F.session_window("event_timestamp", gap), "user_id"
     ).agg(
         F.min("event_timestamp").alias("_start"),
         F.max("event_timestamp").alias("last_activity"),
-        F.count_if(kind == cart).alias("items_added"),
-        F.count_if(kind == purchase).alias("_bought"),
+        F.sum(is_type(cart)).alias("items_added"),
+        F.sum(is_type(purchase)).alias("_bought"),
     )
     return sessions.where((F.col("items_added") > 0) & (F.col("_bought") == 0)).select(
         session_id(F.col("user_id"), F.col("_start")).alias("session_id"),

@@ -114,3 +114,15 @@ def test_missing_event_time_has_no_window(spark):
     ev = frame(spark, [event(0, "10:00"), event(1, "10:07")[:5] + (None,) + event(1, "10:07")[6:]])
     assert rows.with_window(ev).count() == 1
     assert at("10:00").minute == 0
+
+
+def test_required_fields(spark):
+    schema = T.StructType([T.StructField("event_id", T.StringType(), False), T.StructField("event_type", T.StringType(), False), T.StructField("page_url", T.StringType(), False)])
+    sent = ['{"event_id":"1","event_type":"view","page_url":"/"}', '{"event_id":"2","event_type":null,"page_url":"/"}', '{"event_id":"3","event_type":"view"}']
+    raw = spark.createDataFrame([(s.encode(),) for s in sent], "value binary")
+    assert {r.event_id for r in ingest.valid_events(raw, schema).collect()} == {"1", "3"}
+    strict = ingest.contract_fields(schema)
+    assert {r.event_id for r in ingest.valid_events(raw, schema, strict).collect()} == {"1"}
+    assert {r.reason for r in ingest.quarantine(raw, schema, required=strict).collect()} == {"no event_type", "no page_url"}
+    judged = ingest.judged_events(raw, schema, required=strict).collect()
+    assert sorted((r.reason or "", r.data.event_id) for r in judged) == [("", "1"), ("no event_type", "2"), ("no page_url", "3")]

@@ -159,3 +159,20 @@ def test_reports(spark):
     by_window = sessions.session_metrics(ev, end="window_end").where("event_count = 1").first()
     assert by_window.duration_minutes == 30.0 and by_window.end_time == by_window.closes_at
     assert at("10:00").hour == 10
+
+
+def test_journeys_list_returns_and_events_without_channel(spark):
+    rows = frame(spark, [event(i, f"10:0{i}", "a") for i in range(6)])
+    channel = F.element_at(F.array(*[F.lit(c) for c in ("web", "app", "web")], F.lit(None).cast("string"), F.lit("web"), F.lit("web")), F.col("seq").cast("int") + 1)
+    ev = rows.withColumn("channel", channel)
+    found = sessions.channel_journeys(ev).first()
+    assert found.path == "web>app>web>(none)>web" and found.seconds_per_channel == {"web": 180.0, "app": 60.0, "(none)": 60.0}
+    assert [r.channel for r in sessions.journey_steps(ev).orderBy("entered_at").collect()] == ["web", "app", "web", None, "web"]
+    short = sessions.channel_journeys(ev, longest=2).first().path
+    assert short.startswith("web>app>#") and short == sessions.channel_journeys(ev.repartition(3), longest=2).first().path
+
+
+def test_session_metrics_shuffle_no_single_events(spark):
+    plan = sessions.session_metrics(frame(spark, [event(1, "10:00", "a")]).repartition(4))._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert exchanges and not any("event_id" in line for line in exchanges)

@@ -1,11 +1,10 @@
-import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from eventide.operators import rows, sessions, windows
+from eventide.operators import counting, rows, sessions, windows
 from eventide.sinks import tables
-from eventide.streaming import run, stateful
+from eventide.streaming import blocks, run, stateful
 from tests.events import at, event, frame
 
 KEYS, UPDATES = ["id"], ["v"]
@@ -111,31 +110,44 @@ def test_session_stream_equals_batch(spark, tmp_path, approximate):
     assert _rows(out) == _rows(sessions.session_metrics(_batch(spark)))
 
 
+def _blocks(spark, path, deliveries, n, **options):
+    schema = frame(spark, []).schema
+    for rows_ in deliveries:
+        frame(spark, rows_).coalesce(1).write.mode("append").parquet(f"{path}/in")
+        source = spark.readStream.schema(schema).parquet(f"{path}/in")
+        run.batch_sink(source, blocks.count_blocks(path, n=n, **options), f"{path}/state", every=None).awaitTermination()
+    return blocks.full_blocks(spark, path)
+
+
 def test_count_windows_over_several_batches(spark, tmp_path):
     deliveries = [[event(i, f"10:{i:02d}", "a") for i in range(k, k + 5)] for k in (0, 5, 10)]
-    with stateful.rocksdb_state(spark):
-        out = _stream(spark, str(tmp_path), deliveries, lambda s: stateful.count_windows_stream(s, n=4))
+    out = _blocks(spark, str(tmp_path), deliveries, 4)
     got = sorted((r.block, r["count"], r.first_ts.minute, r.last_ts.minute) for r in out.collect())
     assert got == [(0, 4, 0, 3), (1, 4, 4, 7), (2, 4, 8, 11)]
 
 
-def test_count_windows_with_time_to_live(spark, tmp_path):
-    # State that expires runs on processing time, and such a stream does not end by itself.
+def test_count_windows_of_a_heavy_key_in_any_delivery_order(spark, tmp_path):
+    # One key, newest first, more rows than an Arrow batch; one event without a time.
     path = str(tmp_path)
-    frame(spark, [event(i, f"10:{i:02d}", "a") for i in range(9)]).coalesce(1).write.parquet(f"{path}/in")
+    base = frame(spark, [event(0, "10:00", "a")]).drop("event_timestamp", "processing_timestamp", "seq")
+    late = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("seq"))
+    at = F.when(F.col("seq") != 7, late)
+    rows_ = spark.range(25_000).withColumnRenamed("id", "seq").crossJoin(base).withColumns({"event_timestamp": at, "processing_timestamp": late})
+    rows_ = rows_.select(*frame(spark, []).columns).orderBy(F.desc("seq")).coalesce(1)
+    rows_.write.parquet(f"{path}/in")
     source = spark.readStream.schema(frame(spark, []).schema).parquet(f"{path}/in")
-    with stateful.rocksdb_state(spark):
-        blocks = stateful.count_windows_stream(source, n=4, ttl="24 hours")
-        query = run.append_sink(blocks, f"{path}/out", f"{path}/state", every="1 second")
-    try:
-        for _ in range(60):
-            if query.lastProgress and query.lastProgress.batchId > 0:
-                break
-            time.sleep(0.5)
-    finally:
-        query.stop()
-    out = spark.read.schema(blocks.schema).parquet(f"{path}/out")
-    assert sorted((r.block, r["count"]) for r in out.collect()) == [(0, 4), (1, 4)]
+    sink = blocks.count_blocks(path, n=1000)
+    run.batch_sink(source, sink, f"{path}/state", every=None).awaitTermination()
+    want = _rows(counting.count_windows(spark.read.parquet(f"{path}/in"), n=1000))
+    assert len(want) == 25 and _rows(blocks.full_blocks(spark, path)) == want
+    sink(spark.read.parquet(f"{path}/in"), 0)  # a replayed batch changes nothing
+    assert _rows(blocks.full_blocks(spark, path)) == want
+
+
+def test_count_windows_with_time_to_live(spark, tmp_path):
+    deliveries = [[event(i, f"10:{i:02d}", "a") for i in range(k, k + 3)] for k in (0, 3)]
+    assert _blocks(spark, str(tmp_path / "kept"), deliveries, 4, ttl="1 hour").count() == 1
+    assert _blocks(spark, str(tmp_path / "gone"), deliveries, 4, ttl="1 millisecond").count() == 0
 
 
 def test_cart_alert_comes_after_the_idle_time(spark, tmp_path):
@@ -155,7 +167,7 @@ def test_memory_and_complete_sinks(spark, tmp_path):
     counts = source.groupBy("event_type").count()
     run.memory_sink(counts, "sink_test", "complete").awaitTermination()
     run.complete_sink(counts, f"{path}/out", f"{path}/state", every=None).awaitTermination()
-    assert _rows(spark.table("sink_test")) == _rows(spark.read.parquet(f"{path}/out")) == [("click", 2), ("view", 3)]
+    assert _rows(spark.table("sink_test")) == _rows(run.read_complete(spark, f"{path}/out")) == [("click", 2), ("view", 3)]
 
 
 def test_stream_dedup_across_batches(spark, tmp_path):

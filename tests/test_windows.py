@@ -140,3 +140,55 @@ def test_asof_join(spark):
             if seen or how == "left":
                 want[c[0]] = max(seen).replace(tzinfo=None) if seen else None
         assert {r.event_id: r.profile_ts for r in out.collect()} == want
+
+
+def test_outer_interval_joins_match_sql(spark):
+    import datetime as dt
+
+    base = dt.datetime(2024, 1, 1)
+    left = [("a", 10, 1), ("a", 10, 1), ("b", 3, 2), (None, 4, 3), ("c", None, 4), ("a", 300, 5)]
+    right = [("a", 8, 10), ("a", 9, 11), ("a", 9, 11), ("b", 30, 12), (None, 4, 13), ("d", 1, 14), ("a", None, 15), ("a", 296, 16)]
+    at = lambda m: base + dt.timedelta(minutes=m) if m is not None else None
+    lf = spark.createDataFrame([(k, at(m), v) for k, m, v in left], "k string, lt timestamp, lv int")
+    rf = spark.createDataFrame([(k, at(m), v) for k, m, v in right], "k string, rt timestamp, rv int")
+    lf.createOrReplaceTempView("l_")
+    rf.createOrReplaceTempView("r_")
+    on = "l_.k = r_.k AND rt BETWEEN lt - INTERVAL 5 MINUTES AND lt"
+    key = lambda rows: sorted(map(repr, rows))
+    for how in ("inner", "left", "right", "full"):
+        want = spark.sql(f"SELECT coalesce(l_.k, r_.k) AS k, lt, lv, rt, rv FROM l_ {how.upper()} JOIN r_ ON {on}").collect()
+        got = joins.interval_join(lf, rf, "k", "lt", "rt", how=how).select("k", "lt", "lv", "rt", "rv").collect()
+        assert key(map(tuple, got)) == key(map(tuple, want)), how
+
+
+def test_asof_join_does_not_match_null_keys(spark):
+    import datetime as dt
+
+    t = dt.datetime(2024, 1, 1)
+    lf = spark.createDataFrame([(None, t, 1), ("a", t, 2), ("a", None, 3)], "k string, lt timestamp, lv int")
+    rf = spark.createDataFrame([(None, t, 9), ("a", t, 8), ("a", None, 7)], "k string, rt timestamp, rv int")
+    got = sorted((r.lv, r.rv) for r in joins.asof_join(lf, rf, "k", "lt", "rt").collect())
+    assert got == [(1, None), (2, 8), (3, None)]
+    assert [(r.lv, r.rv) for r in joins.asof_join(lf, rf, "k", "lt", "rt", how="inner").collect()] == [(2, 8)]
+
+
+def test_history_longer_than_a_day_and_hours_without_baseline(spark):
+    import datetime as dt
+
+    from eventide.operators import anomalies
+
+    day = lambda d, h=12: dt.datetime(2024, 1, d, h)
+    schema = "window_start timestamp, window_end timestamp, clicks_per_minute double"
+    rates = spark.createDataFrame([(day(d), day(d, 13), float(d)) for d in (1, 2, 3)], schema)
+    got = {r.window_start.day: r.baseline for r in anomalies.rate_anomaly(rates, span="48 hours").collect()}
+    assert got == {1: None, 2: 1.0, 3: 1.5}
+    baseline = spark.createDataFrame([(day(1, 0), 5.0), (day(1, 1), 2.0)], "baseline_start timestamp, baseline_avg double")
+    current = spark.createDataFrame([(day(1, 7), day(1, 8), 6.0), (day(1, 0), day(1, 1), 6.0)], schema)
+    assert [(r.window_start.hour, r.baseline_avg) for r in anomalies.baseline_theta_join(current, baseline).collect()] == [(7, 2.0)]
+
+
+def test_conversion_rate_without_types_is_zero(spark):
+    from tests.events import event, frame
+
+    rows = frame(spark, [event(1, "10:00", "a")]).withColumn("event_type", F.lit(None).cast("string"))
+    assert {(r.conversions, r.rate) for r in windows.conversion_rate(rows).collect()} == {(0, 0.0)}
