@@ -12,18 +12,13 @@ REQUIRED_TEXT = ("event_id", "user_id", "session_id", "event_type", "page_url")
 EVENT_TIME_FIELD = "timestamp"
 OPTIONAL_TEXT = ("ip_address", "user_agent", "referrer", "country", "device_type")
 
-# Avro primitive names and the Spark types they become.
+# Avro's primitive types as Spark types. JSON messages carry bytes as text.
 PRIMITIVES: dict[str, T.DataType] = {
-    "null": T.StringType(),
-    "boolean": T.BooleanType(),
-    "int": T.IntegerType(),
-    "long": T.LongType(),
-    "float": T.FloatType(),
-    "double": T.DoubleType(),
-    "bytes": T.StringType(),
-    "string": T.StringType(),
-}
-EPOCH_LOGICAL_TYPES = {"timestamp-millis", "timestamp-micros"}
+    "boolean": T.BooleanType(), "int": T.IntegerType(), "long": T.LongType(), "float": T.FloatType(), "double": T.DoubleType(),
+    "string": T.StringType(), "bytes": T.StringType(), "null": T.StringType(),
+}
+# Logical types whose number stands in JSON as it is.
+NUMBERED = {"timestamp-millis", "timestamp-micros", "local-timestamp-millis", "local-timestamp-micros", "time-micros"}
 
 
 def clickstream_contract() -> dict:
@@ -34,38 +29,93 @@ def clickstream_contract() -> dict:
     return {"type": "record", "name": "ClickstreamEvent", "fields": fields}
 
 
-def spark_type(avro: str | list | dict, binary: bool = False) -> T.DataType:
-    """Spark type of an Avro type. Unions of several non-null types, enums, fixed, decimal, date
-    and unknown names become text; ``binary`` maps bytes to binary instead of text."""
-    match avro:
-        case "bytes" if binary:
+class AvroTypes:
+    """Spark types of Avro schemas, as the Avro specification defines them.
+
+    Named types (records, enums, fixed) may be referred to by full name, or by short name inside their
+    namespace, once they are defined. ``exact`` gives dates, times, decimals and fixed-length values types of their
+    own and refuses what has none; without it those are text, as is a name nobody defined. ``binary``: bytes as binary.
+    """
+
+    def __init__(self, binary: bool = False, exact: bool = False) -> None:
+        self.binary, self.exact = binary, exact
+        self.named: dict[str, T.DataType] = {}
+
+    def of(self, schema: str | list | dict, space: str = "") -> T.DataType:
+        if isinstance(schema, list):
+            return self._union(schema, space)
+        if isinstance(schema, str):
+            return self._by_name(schema, space)
+        kind = schema["type"]
+        if isinstance(kind, (list, dict)):
+            return self.of(kind, space)
+        build = getattr(self, f"_{kind}", None)
+        return self._logical(schema, space) if build is None else build(schema, space)
+
+    def nullable(self, schema: str | list | dict) -> bool:
+        return schema == "null" or isinstance(schema, list) and any(map(self.nullable, schema))
+
+    def _unknown(self, what: str) -> T.DataType:
+        if self.exact:
+            raise ValueError(f"no Spark type for {what}")
+        return T.StringType()
+
+    def _by_name(self, name: str, space: str) -> T.DataType:
+        if name == "bytes" and self.binary:
             return T.BinaryType()
-        case str(name):
-            return PRIMITIVES.get(name, T.StringType())
-        case list(options):
-            present = [o for o in options if o != "null"]
-            return spark_type(present[0], binary) if len(present) == 1 else T.StringType()
-        case {"logicalType": logical} if logical in EPOCH_LOGICAL_TYPES:
+        found = PRIMITIVES.get(name) or self.named.get(f"{space}.{name}") or self.named.get(name)
+        return found or self._unknown(f"the name {name!r}")
+
+    def _union(self, branches: list, space: str) -> T.DataType:
+        kinds = [self.of(b, space) for b in branches if b != "null"]
+        return kinds[0] if len(kinds) == 1 else self._unknown(f"a union of {len(kinds)} types")
+
+    def _logical(self, schema: dict, space: str) -> T.DataType:
+        logical = schema.get("logicalType")
+        if logical in NUMBERED:
             return T.LongType()
-        case {"type": "array"}:
-            return T.ArrayType(spark_type(avro.get("items"), binary))
-        case {"type": "map"}:
-            return T.MapType(T.StringType(), spark_type(avro.get("values"), binary))
-        case {"type": "record"}:
-            return record_schema(avro, binary)
-    return T.StringType()
+        if logical and self.exact:
+            wanted = {"date": T.DateType(), "time-millis": T.IntegerType(), "uuid": T.StringType()}.get(logical)
+            if logical == "decimal":
+                wanted = T.DecimalType(schema["precision"], schema.get("scale", 0))
+            if wanted:
+                return wanted
+        return T.StringType() if logical in ("date", "decimal") else self._by_name(schema["type"], space)
+
+    def _define(self, schema: dict, space: str, kind: T.DataType) -> T.DataType:
+        own = schema.get("namespace", space)
+        name = schema.get("name", "")
+        self.named[name if "." in name or not own else f"{own}.{name}"] = kind
+        return kind
+
+    def _record(self, schema: dict, space: str) -> T.StructType:
+        inside = schema.get("namespace") or schema.get("name", "").rpartition(".")[0] or space
+        row = T.StructType()
+        for field in schema.get("fields", []):
+            # A logical type may also stand beside a field's type instead of inside it.
+            kind = field if "logicalType" in field and isinstance(field["type"], str) else field["type"]
+            row = row.add(field["name"], self.of(kind, inside), self.nullable(field["type"]))
+        return self._define(schema, space, row)
+
+    def _enum(self, schema: dict, space: str) -> T.DataType:
+        return self._define(schema, space, T.StringType())
+
+    def _fixed(self, schema: dict, space: str) -> T.DataType:
+        exact = self._logical({**schema, "type": "bytes"}, space) if schema.get("logicalType") else T.BinaryType()
+        return self._define(schema, space, exact if self.exact else T.StringType())
+
+    def _array(self, schema: dict, space: str) -> T.DataType:
+        return T.ArrayType(self.of(schema["items"], space), not self.exact or self.nullable(schema["items"]))
 
+    def _map(self, schema: dict, space: str) -> T.DataType:
+        return T.MapType(T.StringType(), self.of(schema["values"], space), not self.exact or self.nullable(schema["values"]))
 
-def record_schema(record: dict, binary: bool = False) -> T.StructType:
-    def field(definition: dict) -> T.StructField:
-        kind = definition["type"]
-        optional = isinstance(kind, list) and "null" in kind
-        return T.StructField(definition["name"], spark_type(kind, binary), optional)
 
-    return T.StructType([field(f) for f in record.get("fields", [])])
+def spark_type(avro: str | list | dict, binary: bool = False, exact: bool = False) -> T.DataType:
+    return AvroTypes(binary, exact).of(avro)
 
 
-def contract_schema(contract: str | Path | dict, binary: bool = False) -> T.StructType:
+def contract_schema(contract: str | Path | dict, binary: bool = False, exact: bool = False) -> T.StructType:
     """Spark schema of an Avro record, given as a parsed definition or an ``.avsc`` file; a registry
     wrapper holding the definition as text under ``schema`` is unwrapped."""
     definition = contract if isinstance(contract, dict) else json.loads(Path(contract).read_text())
@@ -73,7 +123,7 @@ def contract_schema(contract: str | Path | dict, binary: bool = False) -> T.Stru
         definition = json.loads(definition["schema"])
     if definition.get("type") != "record":
         raise ValueError(f"a contract must be an Avro record, not {definition.get('type')!r}")
-    return record_schema(definition, binary)
+    return AvroTypes(binary, exact).of(definition)
 
 
 def contract_audit(raw: DataFrame, schema: T.StructType) -> DataFrame:

@@ -126,3 +126,24 @@ def test_required_fields(spark):
     assert {r.reason for r in ingest.quarantine(raw, schema, required=strict).collect()} == {"no event_type", "no page_url"}
     judged = ingest.judged_events(raw, schema, required=strict).collect()
     assert sorted((r.reason or "", r.data.event_id) for r in judged) == [("", "1"), ("no event_type", "2"), ("no page_url", "3")]
+
+
+def test_named_types_and_exact_types():
+    money = {"type": "bytes", "logicalType": "decimal", "precision": 10, "scale": 2}
+    avro = {
+        "type": "record", "name": "Order", "namespace": "shop", "fields": [
+            {"name": "state", "type": {"type": "enum", "name": "State", "symbols": ["NEW", "PAID"]}},
+            {"name": "before", "type": ["null", "State"]}, {"name": "again", "type": "shop.State"},
+            {"name": "total", "type": money}, {"name": "day", "type": {"type": "int", "logicalType": "date"}},
+            {"name": "hash", "type": {"type": "fixed", "name": "Md5", "size": 16}},
+            {"name": "tags", "type": {"type": "array", "items": ["null", "string"]}},
+        ],
+    }
+    exact = contract_schema(avro, exact=True)
+    assert [f.dataType for f in exact] == [
+        T.StringType(), T.StringType(), T.StringType(), T.DecimalType(10, 2), T.DateType(), T.BinaryType(), T.ArrayType(T.StringType(), True),
+    ]
+    assert [f.nullable for f in exact] == [False, True, False, False, False, False, False]
+    assert {f.dataType for f in list(contract_schema(avro))[:6]} == {T.StringType()}
+    with pytest.raises(ValueError, match="no Spark type"):
+        spark_type("nobody", exact=True)
