@@ -14,14 +14,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from eventide.catalog.registry import register, rounded
 from eventide.catalog.reports import SCHEMA, clicks_and_profiles
 from eventide.catalog.sql import statement
-from eventide.operators import joins, rows, sessions, windows
+from eventide.operators import anomalies, joins, rows, sessions, windows
 from eventide.session import scratch_folder
 from eventide.sinks import tables
 from eventide.sinks.tables import ForeachBatch
 from eventide.sources import ingest
 from eventide.sources.events import CART, CLICK, PAGE_VIEW, PURCHASE, load_events, stream_events
 from eventide.sources.messages import message_log
-from eventide.streaming import blocks, ledger, run, stateful
+from eventide.streaming import alerts, blocks, ledger, run, stateful
 
 
 def _final(event_type: str | None = None) -> str:
@@ -265,7 +265,9 @@ classed AS (SELECT *, CASE WHEN mark >= window_end + INTERVAL 5 MINUTE THEN 'too
                            ELSE 'on_time' END AS lateness_class FROM tagged)"""
 
 
-def _deliveries(spark: SparkSession, folder: str, sink: Callable[[str], ForeachBatch]) -> str:
+def _deliveries(
+    spark: SparkSession, folder: str, sink: Callable[[str], ForeachBatch], build: Callable[[DataFrame], DataFrame] = lambda s: s
+) -> str:
     """The folder of a foreach-batch sink after the month's events came in three deliveries, with a restart before each."""
     out = scratch_folder(spark, "deliveries")
     ev = load_events(spark, folder)
@@ -274,7 +276,7 @@ def _deliveries(spark: SparkSession, folder: str, sink: Callable[[str], ForeachB
     for i in range(DELIVERIES):
         ev.where(delivery == i).write.mode("append").parquet(f"{out}/arrivals")
         arrivals = spark.readStream.schema(ev.schema).parquet(f"{out}/arrivals")
-        run.batch_sink(arrivals, sink(out), f"{out}/state", every=None).awaitTermination()
+        run.batch_sink(build(arrivals), sink(out), f"{out}/state", every=None).awaitTermination()
     return out
 
 
@@ -294,3 +296,22 @@ SELECT event_id, event_type, event_timestamp, processing_timestamp,
 FROM classed WHERE lateness_class = 'too_late'""", "ev"))
 def _(spark, folder):
     return ledger.ledger_late_events(spark, _deliveries(spark, folder, ledger.late_ledger))
+
+
+@register("stream_rate_anomaly", statement(_CHUNKED + """,
+before AS (SELECT chunk, max(max(event_timestamp)) OVER (ORDER BY chunk ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest
+           FROM cut WHERE event_type = 'click' GROUP BY chunk),
+counted AS (SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, round(count(*) / 5.0::DOUBLE, 2) AS clicks_per_minute
+            FROM (SELECT chunk, time_bucket(INTERVAL 1 MINUTE, event_timestamp) - to_minutes(i) AS window_start
+                  FROM cut, range(5) t(i) WHERE event_type = 'click') JOIN before USING (chunk)
+            WHERE newest IS NULL OR window_start + INTERVAL 5 MINUTE > newest - INTERVAL 10 MINUTE GROUP BY window_start),
+closed AS (SELECT * FROM counted WHERE window_end <= (SELECT max(event_timestamp) FROM cut WHERE event_type = 'click') - INTERVAL 10 MINUTE)
+SELECT c.window_start, c.window_end, c.clicks_per_minute, round(avg(b.clicks_per_minute), 6) AS baseline,
+       coalesce(c.clicks_per_minute > 2.0::DOUBLE * round(avg(b.clicks_per_minute), 6), false) AS is_anomaly
+FROM closed c LEFT JOIN closed b ON b.window_start BETWEEN c.window_start - INTERVAL 60 MINUTE AND c.window_start - INTERVAL 1 MINUTE
+GROUP BY c.window_start, c.window_end, c.clicks_per_minute""", "ev"))
+def _(spark, folder):
+    # Late clicks of a delivery whose window the one before has closed are dropped by the watermark.
+    rates = lambda s: windows.sliding_rate(rows.with_watermark(s, "10 minutes"), CLICK)
+    out = _deliveries(spark, folder, lambda path: alerts.alerts_sink(path, anomalies.rate_anomaly), rates)
+    return alerts.alert_rows(spark, out)
