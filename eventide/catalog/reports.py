@@ -121,13 +121,6 @@ def _(spark, folder):
     return rows.with_event_time(millis).drop("timestamp")
 
 
-@register("watermark", statement("SELECT max(event_timestamp) - INTERVAL 10 MINUTE AS watermark FROM ev", "ev"))
-def _(spark, folder):
-    # A batch has no running watermark; what the operator's delay leaves is the one at its end.
-    ev = rows.with_watermark(load_events(spark, folder), "10 minutes")
-    return ev.agg((F.max("event_timestamp") - F.expr("INTERVAL 10 MINUTES")).alias("watermark"))
-
-
 @register("window_tags", statement("""
 SELECT event_id, event_timestamp, time_bucket(INTERVAL 5 MINUTE, event_timestamp) AS event_timestamp_start,
        time_bucket(INTERVAL 5 MINUTE, event_timestamp) + INTERVAL 5 MINUTE AS event_timestamp_end

@@ -115,6 +115,16 @@ def _(spark, folder):
     return ingest.read_table(spark, out)
 
 
+@register("watermark", statement("SELECT date_trunc('millisecond', max(event_timestamp) - INTERVAL 10 MINUTE) AS watermark FROM ev", "ev"))
+def _(spark, folder):
+    # What the engine itself reports as the watermark once a stream has read everything.
+    out = scratch_folder(spark, "watermark")
+    query = run.append_sink(windows.tumbling_count(_watermarked(spark, folder)), f"{out}/rows", f"{out}/state", every=None)
+    query.awaitTermination()
+    newest = max(p["eventTime"]["watermark"] for p in query.recentProgress if "watermark" in p.get("eventTime", {}))
+    return spark.range(1).select(F.lit(newest).cast("timestamp").alias("watermark"))
+
+
 @register("stream_tumbling_count", statement(f"SELECT * FROM counts {_final()}", "counts"))
 def _(spark, folder):
     return _appended(windows.tumbling_count(_watermarked(spark, folder)))

@@ -1,22 +1,25 @@
 """Exact interpolated percentiles per group from value counts.
 
 ``percentile`` keeps every distinct value of a group in one buffer. Counting each value first makes
-the input one row per distinct value, and the positions are then read off a running count, which
-sorts and spills like any window.
+the input one row per distinct value, and the positions are then read off a running count over runs, so
+that a group with very many values is spread over tasks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
+
+from eventide.plans.ordered import Running, ordered_runs, running
 
 
 def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, **quantiles: float) -> DataFrame:
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    upto = F.sum("_n").over(Window.partitionBy(*keys).orderBy(value))
-    ranked = counts.select(*keys, value, upto.alias("_upto"))
-    sizes = counts.groupBy(*keys).agg(F.sum("_n").alias("_size"))
+    runs = ordered_runs(counts, list(keys), [value])
+    upto = running(runs, list(keys), [value], _upto=Running("sum", F.col("_n")))
+    ranked = upto.select(*keys, value, "_upto")
+    sizes = runs.groupBy(*keys).agg(F.sum("_n").alias("_size"))
     placed = ranked.join(sizes, list(keys))
     reads = []
     for name, q in quantiles.items():

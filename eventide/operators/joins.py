@@ -43,6 +43,23 @@ def interval_join(
     return left.join(right, same & in_range, how).drop(other, "_left_slot", "_right_slot")
 
 
+def asof_join_stream(
+    left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str,
+    within: str = "5 minutes", how: str = "left",
+) -> DataFrame:
+    """:func:`asof_join` of two watermarked streams, in append mode.
+
+    The interval join finds each left row's candidates, and a grouping by the left row keeps the newest; the watermark
+    clears both. A row comes out once the watermark says that no newer match can arrive. Left rows must differ, for
+    instance by an event id.
+    """
+    values = [c for c in right.columns if c not in (key, right_time)]
+    met = interval_join(left, right, key, left_time, right_time, within, how)
+    newest = F.max(F.when(F.col(right_time).isNotNull(), F.struct(right_time, *values))).alias("_match")
+    rows = met.groupBy(*left.columns).agg(newest)
+    return rows.select(*left.columns, *[F.col("_match")[c].alias(c) for c in (right_time, *values)])
+
+
 def asof_join(
     left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str,
     within: str = "5 minutes", how: str = "left",

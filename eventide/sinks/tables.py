@@ -69,6 +69,18 @@ def compact_upserts(
     rows.write.mode("overwrite").parquet(f"{target}/{BATCH}=-1")
 
 
+# Columns that the serving tables hold as decimals, with precision and scale.
+DECIMALS = {
+    "duration_minutes": (10, 2), "avg_duration_minutes": (10, 2), "bounce_rate": (5, 2), "conversion_rate": (5, 2),
+}
+
+
+def serving_types(df: DataFrame, decimals: dict[str, tuple[int, int]] = DECIMALS) -> DataFrame:
+    """``df`` with the serving tables' decimal types; a value that doesn't fit is an error, not a null."""
+    named = {c: f"decimal({p},{s})" for c, (p, s) in decimals.items() if c in df.columns}
+    return df.withColumns({c: F.round(c, decimals[c][1]).cast(t) for c, t in named.items()})
+
+
 def partitioned_write(df: DataFrame, path: str, by: str = "window_start", fmt: str = "parquet", mode: str = "append") -> None:
     """A table partitioned by day. The rebalance hint gathers a day's rows into few files and lets
     AQE split a day that is too large for one task."""

@@ -2,7 +2,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from eventide.operators import counting, rows, sessions, windows
+from eventide.operators import counting, joins, rows, sessions, windows
 from eventide.sinks import tables
 from eventide.streaming import blocks, run, stateful
 from tests.events import at, event, frame
@@ -175,3 +175,35 @@ def test_stream_dedup_across_batches(spark, tmp_path):
     more = [event(3, "10:21", "a"), event(4, "10:25", "b")]
     out = _stream(spark, str(tmp_path), [DELIVERIES[0], DELIVERIES[0] + more], build)
     assert out.count() == 5
+
+
+def test_serving_decimals(spark):
+    df = spark.createDataFrame([(12.345, 99.999, 1)], "duration_minutes double, bounce_rate double, n int")
+    out = tables.serving_types(df)
+    assert [t for _, t in out.dtypes] == ["decimal(10,2)", "decimal(5,2)", "int"]
+    assert [str(v) for v in out.first()] == ["12.35", "100.00", "1"]
+
+
+def test_upsert_statement():
+    text = tables.upsert_statement("serving.t", "stage", ["id", "v", "w"], ["id"], ["v"], 7)
+    assert text == (
+        'INSERT INTO serving.t ("id", "v", "w") SELECT DISTINCT ON ("id") "id", "v", "w" FROM stage WHERE batch_id = 7 '
+        'ORDER BY "id" ON CONFLICT ("id") DO UPDATE SET "v" = EXCLUDED."v"'
+    )
+    assert tables.upsert_statement("t", "s", ["id"], ["id"], [], 0).endswith("DO NOTHING")
+
+
+def test_asof_join_on_streams(spark, tmp_path):
+    path = str(tmp_path)
+    clicks = [event(1, "10:10", "a", "click"), event(2, "10:11", "b", "click"), event(3, "10:30", "a", "click")]
+    profiles = [event(4, "10:01", "a", "profile", price=1.0), event(5, "10:08", "a", "profile", price=2.0), event(6, "10:12", "a", "profile", price=3.0)]
+    closing = [event(98, "20:00", "z", "click"), event(99, "20:00", "z", "profile")]
+
+    def build(s):
+        s = rows.with_watermark(s)
+        left = s.where("event_type = 'click'").select("event_id", "user_id", "event_timestamp")
+        right = s.where("event_type = 'profile'").select("user_id", F.col("event_timestamp").alias("profile_ts"), F.col("price").alias("value"))
+        return joins.asof_join_stream(left, right, "user_id", "event_timestamp", "profile_ts", "5 minutes")
+
+    out = _stream(spark, path, [clicks + profiles, closing, [event(100, "20:01", "z", "click"), event(101, "20:01", "z", "profile")]], build)
+    assert sorted((r.event_id, r.value) for r in out.collect()) == [("e000001", 2.0), ("e000002", None), ("e000003", None)]
