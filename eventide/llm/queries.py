@@ -55,7 +55,24 @@ FROM n WINDOW w AS (PARTITION BY t)"""
 
 @query
 def op5_phrase_index(spark: SparkSession, folder: str) -> DataFrame:
-    return contamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return contamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("n_near")
+
+
+_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+CHECKS["op5_phrase_index"] = f"""
+WITH a AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+s AS (SELECT item_id, w, least(13, len(w)) AS n FROM (SELECT item_id, {_WORDS} AS w FROM benchmark) WHERE len(w) > 0),
+q AS (SELECT DISTINCT item_id, n, unnest([array_to_string(w[i:i + n - 1], ' ') FOR i IN range(1, len(w) - n + 2)]) AS g FROM s),
+t AS (SELECT doc_id, n, unnest([array_to_string(w[i:i + n - 1], ' ') FOR i IN range(1, len(w) - n + 2)]) AS g,
+             unnest(range(1, len(w) - n + 2)) AS i FROM a, (SELECT DISTINCT n FROM q) WHERE len(w) >= n),
+m AS (SELECT doc_id, i, n, item_id FROM t JOIN q USING (n, g)),
+h AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM m) GROUP BY doc_id),
+k AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+      FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM m) GROUP BY doc_id)
+SELECT a.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM a LEFT JOIN h ON h.doc_id = a.doc_id LEFT JOIN k ON k.doc_id = a.doc_id"""
 
 
 @query
