@@ -108,8 +108,11 @@ def fit(
 
     keyed = known.withColumn("_h", F.xxhash64("_id", "text"))
     common = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages)
+    # Hashes below a share that leaves about three samples of a language; the ordered choice is then among few rows.
+    spread = F.pmod("_h", F.lit(1 << 31)).cast("double") * F.col("count") < F.lit(3.0 * sample * (1 << 31))
     first = F.row_number().over(Window.partitionBy("lang").orderBy("_h"))
-    chosen = keyed.select("lang", "_h").withColumn("_at", first).where(F.col("_at") <= sample).join(F.broadcast(common), "lang")
+    some = keyed.select("lang", "_h").join(F.broadcast(common), "lang").where(spread)
+    chosen = some.withColumn("_at", first).where(F.col("_at") <= sample)
     chosen = kept(chosen.select("lang", "_h").distinct())
     rows = keyed.join(F.broadcast(chosen), ["lang", "_h"], "left_semi").dropDuplicates(["lang", "_h"]).select("lang", "text")
 
