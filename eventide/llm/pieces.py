@@ -25,7 +25,10 @@ from eventide.llm.common import kept, received, send, small_batches
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"  # fixed value: how the format writes a space
 NEVER = -np.inf
-PARTS = "uid long, id string, no int, behind string, body string, ahead string, open_left boolean, open_right boolean, rows int, cols int, matrix array<double>"
+PARTS = (
+    "uid long, id string, no int, behind string, body string, ahead string, open_left boolean, open_right boolean, "
+    "rows int, cols int, matrix array<double>, ids array<int>, ok boolean"
+)
 
 
 @dataclass
@@ -357,8 +360,9 @@ def _short(sent: Broadcast) -> Callable:
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str = MODEL, chunk: int = 16384) -> DataFrame:
     """(id, ids, n_tokens, n_chunks, round_trip) per row: the numbers the model's own library gives, of whole texts.
 
-    Texts up to ``chunk`` characters are one chunk. Longer ones are cut into chunks that spread over the cluster: each yields its
-    matrix, a document's matrices (never its text) meet in one task where they are scanned, and each chunk is traced back on its own.
+    Texts up to ``chunk`` characters are one chunk. Longer ones are cut into chunks. A chunk between two cuts has one state on either
+    side and is encoded at once; where no cut is near, the border is open and the chunk yields its matrix. A document's matrices (never
+    its text) then meet in one task where they are scanned, and its open chunks, spread over the cluster, are traced back each on its own.
     Null and empty texts have no tokens. ``round_trip``: decoding gives the text again (U+2581, the format's blank, counts as a
     space). Repeated rows and ids are encoded one by one; other columns are ignored. The vocabulary is read on the driver.
     """
@@ -375,9 +379,14 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
         e = Encoder(received(sent))
         for batch in batches:
             for uid, name, text in zip(batch["uid"], batch["id"], batch["text"], strict=True):
+                out = []
                 for no, c in enumerate(chunks(escape(text), e, chunk)):
-                    m = c.matrix(e)
-                    yield pd.DataFrame([(uid, name, no, c.behind, c.body, c.ahead, c.open_left, c.open_right, *m.shape, m.ravel())], columns=[x.split()[0] for x in PARTS.split(", ")])
+                    if c.open_left or c.open_right:
+                        m = c.matrix(e)
+                        out.append((uid, name, no, c.behind, c.body, c.ahead, c.open_left, c.open_right, *m.shape, m.ravel(), None, None))
+                    else:  # one state on either side: the chunk's path is known
+                        out.append((uid, name, no, None, None, None, False, False, 1, 1, [0.0], *c.encode(e, 0, 0)))
+                yield pd.DataFrame(out, columns=[x.split()[0] for x in PARTS.split(", ")], dtype=object)
 
     named = rows.where(giant).select(F.monotonically_increasing_id().alias("uid"), F.col("doc_id").cast("string").alias("id"), "text")
     parts = kept(named.mapInPandas(deal, PARTS))
@@ -387,7 +396,10 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
         found = border_states([np.array(m).reshape(r, c) for r, c, m in zip(group["rows"], group["cols"], group["matrix"], strict=True)])
         return pd.DataFrame({"uid": group["uid"], "no": group["no"], "enter": [a for a, _ in found], "leave": [b for _, b in found]})
 
-    states = parts.select("uid", "no", "rows", "cols", "matrix").groupBy("uid").applyInPandas(resolve, "uid long, no int, enter int, leave int")
+    closed = parts.where("not open_left and not open_right").select("uid", "id", "no", "ids", "ok")
+    pending = parts.where("open_left or open_right")
+    scanned = parts.select("uid", "no", "rows", "cols", "matrix").join(pending.select("uid").distinct(), "uid", "left_semi")
+    states = scanned.groupBy("uid").applyInPandas(resolve, "uid long, no int, enter int, leave int")
 
     def trace(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         e = Encoder(received(sent))
@@ -395,9 +407,9 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
             found = [Chunk(r.behind, r.body, r.ahead, r.open_left, r.open_right).encode(e, r.enter, r.leave) for r in batch.itertuples(index=False)]
             yield pd.DataFrame({"uid": batch["uid"], "id": batch["id"], "no": batch["no"], "ids": [i for i, _ in found], "ok": [ok for _, ok in found]})
 
-    traced = parts.join(states, ["uid", "no"]).select("uid", "id", "no", "behind", "body", "ahead", "open_left", "open_right", "enter", "leave")
+    traced = pending.join(states, ["uid", "no"]).select("uid", "id", "no", "behind", "body", "ahead", "open_left", "open_right", "enter", "leave")
     traced = traced.mapInPandas(trace, "uid long, id string, no int, ids array<int>, ok boolean")
-    whole = traced.groupBy("uid").agg(
+    whole = closed.unionByName(traced).groupBy("uid").agg(
         F.first("id").alias("id"), F.array_sort(F.collect_list(F.struct("no", "ids"))).alias("_parts"), F.count("*").cast("int").alias("n_chunks"), F.min("ok").alias("round_trip")
     )
     long = whole.select(F.col("id").cast(kind).alias("doc_id"), F.flatten(F.transform("_parts", lambda p: p["ids"])).alias("ids"), "n_chunks", "round_trip")
