@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import heapq
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -107,23 +109,28 @@ def kernel(words: list[str], marks: Landmarks) -> np.ndarray:
 
 @dataclass
 class Model:
-    """A word's decision is its kernel with the landmarks times ``vector`` (the Nystroem map folded in) plus ``bias``."""
+    """A word's decision is its kernel with the landmarks times ``vector`` (the Nystroem map folded in) plus ``bias``.
+
+    ``weights`` turn what a text shows (see ``Judge.shown``) into the logarithm of its odds.
+    """
 
     marks: Landmarks
     vector: np.ndarray
     bias: float
-    slope: float = 1.0
-    shift: float = 0.0
+    weights: np.ndarray | None = None
 
     def decisions(self, words: list[str]) -> np.ndarray:
         return kernel(words, self.marks) @ self.vector + self.bias
 
-    def probability(self, decision: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * decision + self.shift, -30, 30)))
+    def probability(self, shown: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(shown @ self.weights, -30, 30)))
+
+
+HIGHEST = 4
 
 
 class Judge:
-    """The highest decision of a text's words; words once judged are remembered."""
+    """The highest decisions of a text's different words; words once judged are remembered."""
 
     def __init__(self, model: Model, most: int = 500_000) -> None:
         self.model, self.most, self.seen = model, most, {}
@@ -138,21 +145,27 @@ class Judge:
             np.maximum.at(highest, owner, self.model.decisions([p for c in cut for p in c]))
             self.seen.update(zip(part, highest.tolist(), strict=True))
 
-    def decisions(self, texts: list[str | None]) -> np.ndarray:
+    def shown(self, texts: list[str | None]) -> np.ndarray:
+        """A row per text: its HIGHEST decisions in falling order, the logarithm of its number of different words, 1."""
         if len(self.seen) > self.most:
             self.seen.clear()
         of = [units(text) if text else () for text in texts]
         self.learn([u for u in set().union(*of) if u not in self.seen])
-        return np.array([max(map(self.seen.__getitem__, found), default=self.lowest) for found in of])
+        out = np.full((len(texts), HIGHEST + 2), self.lowest)
+        for row, found in zip(out, of, strict=True):
+            top = heapq.nlargest(HIGHEST, map(self.seen.__getitem__, found))
+            row[: len(top)] = top
+            row[HIGHEST:] = math.log1p(len(found)), 1
+        return out
 
 
 def judge_column(model: Model, text: Column, probability: bool = True) -> Column:
-    @F.pandas_udf("double")
+    @F.pandas_udf("double" if probability else "array<double>")
     def judge(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         texts = Judge(model)
         for batch in batches:
-            decision = texts.decisions(list(batch))
-            yield pd.Series(model.probability(decision) if probability else decision, dtype=float)
+            shown = texts.shown(list(batch))
+            yield pd.Series(model.probability(shown), dtype=float) if probability else pd.Series(list(shown), dtype=object)
 
     return judge(text)
 
@@ -188,19 +201,25 @@ def machine(x: np.ndarray, y: np.ndarray, cost: float = 3.0, positive: float = 4
     return w[:-1], float(w[-1])
 
 
-def probability(decision: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and shift of the sigmoid that turns decisions into probabilities, with smoothed targets."""
+def odds(shown: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Weights of a logistic regression on what texts show, with smoothed targets; a higher decision never lowers the odds."""
     positive, negative = (y > 0).sum(), (y <= 0).sum()
     target = np.where(y > 0, (positive + 1) / (positive + 2), 1 / (negative + 2))
-    a = np.stack([decision, np.ones(len(decision))], axis=1)
-    w = np.array([1.0, 0.0])
-    for _ in range(100):
-        p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        step = np.linalg.solve((a * (p * (1 - p) + 1e-6)[:, None]).T @ a + 1e-3 * np.eye(2), a.T @ (p - target) + 1e-3 * w)
-        w = w - step
-        if np.abs(step).max() < 1e-7:
-            break
-    return float(w[0]), float(w[1])
+    free = np.ones(shown.shape[1], bool)
+    while True:
+        a, w = shown[:, free], np.zeros(free.sum())
+        for _ in range(200):
+            p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
+            step = np.linalg.solve((a * (p * (1 - p) + 1e-4)[:, None]).T @ a + 1e-2 * np.eye(len(w)), a.T @ (p - target) + 1e-2 * w)
+            w = w - step
+            if np.abs(step).max() < 1e-7:
+                break
+        out = np.zeros(shown.shape[1])
+        out[free] = w
+        wrong = np.flatnonzero(out[:HIGHEST] < 0)
+        if not len(wrong):
+            return out
+        free[wrong] = False
 
 
 def variants(word: str) -> list[str]:
@@ -218,7 +237,8 @@ def fit(
     toxic for some of its words, so each gives one word to learn from: that which most separates the classes (counts
     stay in Spark); words that do so in many texts are joined by variants of them with a letter more. Against them stand the ``others`` words of clean texts that are most like a landmark. Landmarks are the
     most separating words, none too like another, and a few clean ones; Nystroem: kernels with them times the inverse root of
-    their own kernel. A text's decision is its words' highest; a sigmoid fitted to the sample's texts makes it a probability.
+    their own kernel. A logistic regression on the sample's texts turns the highest decisions of a text's words into a probability:
+    one certain word is enough, and several doubtful ones are more than one.
     """
     small_batches(docs.sparkSession)
     known = labels.where(fold(id_col, folds) != held).where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_y"))
@@ -262,7 +282,7 @@ def fit(
     w, bias = machine(x @ root, y)
     model = Model(found, root @ w, bias)
     data = rows.select("_y", judge_column(model, F.col("_text"), probability=False).alias("x")).toPandas()
-    model.slope, model.shift = probability(data["x"].to_numpy(), data["_y"].to_numpy())
+    model.weights = odds(np.array(data["x"].tolist(), float), data["_y"].to_numpy())
     return model
 
 
