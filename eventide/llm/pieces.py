@@ -59,21 +59,41 @@ def vocabulary(path: str = MODEL) -> Vocabulary:
     return Vocabulary(pieces, byte_ids, texts, max(map(len, pieces)))
 
 
+def _segments(v: Vocabulary) -> str:
+    """A pattern that cuts a text where no piece can lie over the cut.
+
+    A piece has blanks at its start only, and characters that no longer piece has stand alone. ``tail`` characters are letters and
+    whatever follows one inside a piece; no piece has another character after one of them, so there is a cut in between.
+    """
+    longer = [p for p in v.pieces if len(p) > 1]
+    joined = {c for p in longer for c in p} - {BLANK}
+    tail, follows = {c for c in joined if c.isalpha()}, {(a, b) for p in longer for a, b in zip(p, p[1:]) if a != BLANK}
+    while more := {b for a, b in follows if a in tail} - tail:
+        tail |= more
+    head = joined - tail
+    of = lambda chars: "".join(map(re.escape, sorted(chars)))
+    ways = [f"{BLANK}*{f'[{of(head)}]*' if head else ''}[{of(tail)}]+"] if tail else []
+    ways += [f"{BLANK}*[{of(head)}]+"] if head else []
+    return "|".join([*ways, f"{BLANK}+", f"[^{of(joined)}{BLANK}]" if joined else "."])
+
+
 class Encoder:
     """Encoding with a vocabulary: segments that no piece crosses are encoded once and remembered."""
 
     def __init__(self, v: Vocabulary, most: int = 500_000) -> None:
         self.v, self.most, self.fits = v, most, {}
         self.score = {p: s for p, (_, s) in v.pieces.items()}
-        joined = sorted({c for p in v.pieces if len(p) > 1 for c in p} - {BLANK})
-        inner = "".join(map(re.escape, joined))
-        # a piece has blanks at its start only, and characters of no longer piece stand alone
-        self.segment = re.compile(f"{BLANK}*[{inner}]+|{BLANK}+|[^{inner}{BLANK}]" if inner else "(?s:.)", re.S)
+        self.ids = {p: i for p, (i, _) in v.pieces.items()}
+        self.segment = re.compile(_segments(v), re.S)
         encoder = self
 
         class Memory(dict):
             def __missing__(self, segment: str) -> tuple:
-                found = tuple(chain.from_iterable(map(encoder.numbers, encoder.merged(segment))))
+                part = encoder.merged(segment)
+                try:
+                    found = tuple(map(encoder.ids.__getitem__, part))
+                except KeyError:
+                    found = tuple(chain.from_iterable(map(encoder.numbers, part)))
                 if len(self) >= encoder.most:
                     self.clear()
                 self[segment] = found
