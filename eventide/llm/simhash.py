@@ -106,19 +106,27 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "fp", "component_id")
 
 
-def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, within: int = 2) -> DataFrame:
-    """One row of each near-duplicate group of ``docs``, with all its columns: that with the smallest id.
+def row_mark(text_col: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
 
-    Ids that repeat are told apart by their texts; of rows equal in both one stays.
-    """
-    mark = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
-    thin = kept(docs.select(F.col(id_col).alias("_id"), mark.alias("_mark"), fingerprints(docs, text_col, shingle).alias("fp")))
-    distinct = kept(thin.groupBy("fp").agg(F.min(F.struct(F.col("_id").isNull(), "_id", "_mark")).alias("first")))
-    roots = components(near_links(distinct.select("fp"), within))
-    named = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+def one_each(docs: DataFrame, thin: DataFrame, roots: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Rows of ``docs`` with the smallest id among those of a root; ``thin`` has (_id, _mark, node) of each row, ``roots`` what links join."""
+    distinct = thin.groupBy("node").agg(F.min(F.struct(F.col("_id").isNull(), "_id", "_mark")).alias("first"))
+    named = distinct.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     stay = named.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first._id").alias("_id"), F.col("first._mark").alias("_mark"))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(id_col).alias("_own"), mark.alias("_own_mark"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(id_col).alias("_own"), row_mark(text_col).alias("_own_mark"))
     match = F.col("_own").eqNullSafe(F.col("_id")) & (F.col("_own_mark") == F.col("_mark"))
     chosen = rows.join(stay, match, "left_semi")
     one = chosen.groupBy("_own_mark", "_own").agg(F.first("_row").alias("_row"))
     return one.select("_row.*")
+
+
+def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, within: int = 2) -> DataFrame:
+    """One row of each near-duplicate group of ``docs``, with all its columns: that with the smallest id.
+
+    Ids that repeat are told apart by their texts; of rows equal in both one stays.
+    """
+    thin = kept(docs.select(F.col(id_col).alias("_id"), row_mark(text_col).alias("_mark"), fingerprints(docs, text_col, shingle).alias("node")))
+    roots = components(near_links(thin.select(F.col("node").alias("fp")).distinct(), within))
+    return one_each(docs, thin, roots, id_col, text_col)
