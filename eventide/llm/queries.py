@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from eventide.llm import contamination, exact, language, pages, pieces, ppm, sharding, simhash, toxicity, warc
+from eventide.llm import bitplanes, contamination, exact, language, pages, pieces, ppm, sharding, simhash, toxicity, warc
 from eventide.llm.common import shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,6 +100,32 @@ def op10_feistel_shards(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.feistel_shards(table(spark, folder, "documents"))
 
 
+@query
+def op13_bit_plane_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    return bitplanes.cluster(table(spark, folder, "embeddings"))
+
+
+def _clusters_sql(rounds: int = 3) -> str:
+    """Assignment and means, written out round by round."""
+    steps = [r"""WITH v AS MATERIALIZED (SELECT vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS c FROM embeddings
+  WHERE len(embedding) = 64 AND len([x FOR x IN embedding IF x IS NOT NULL AND isfinite(x)]) = 64),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id), c) - 1 AS k, c FROM v QUALIFY k < 16)"""]
+    for i in range(rounds + 1):
+        steps.append(f"""a{i} AS MATERIALIZED (SELECT vec_id, c, arg_min(k, struct_pack(d := d, k := k)) AS k, min(d) AS d FROM (
+  SELECT vec_id, v.c, k, list_sum([(z[1] - z[2]) * (z[1] - z[2]) FOR z IN list_zip(v.c, m.c)]) AS d FROM v, c{i} m) GROUP BY vec_id, c)""")
+        if i < rounds:
+            steps.append(f"""c{i + 1} AS MATERIALIZED (SELECT o.k, coalesce(n.c, o.c) AS c FROM c{i} o LEFT JOIN (
+  SELECT k, list(m ORDER BY j) AS c FROM (SELECT k, j, CAST(floor(sum(x)::DOUBLE / count(*)) AS BIGINT) AS m
+    FROM (SELECT k, unnest(c) AS x, unnest(range(64)) AS j FROM a{i}) GROUP BY k, j) GROUP BY k) n ON n.k = o.k)""")
+    return ",\n".join(steps) + f"""
+SELECT vec_id, CAST(a.k AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance, CAST(sum(d) OVER (PARTITION BY a.k) AS BIGINT) AS cluster_inertia,
+       CAST(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(m.c, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN c{rounds} m ON m.k = a.k"""
+
+
+CHECKS["op13_bit_plane_clusters"] = _clusters_sql()
+
+
 @query
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
