@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from eventide.llm import bitplanes, contamination, exact, language, pages, pieces, ppm, sharding, simhash, toxicity, warc
+from eventide.llm import bitplanes, contamination, exact, language, pages, pieces, ppm, sharding, simhash, tokens, toxicity, warc
 from eventide.llm.common import shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,6 +100,11 @@ def op10_feistel_shards(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.feistel_shards(table(spark, folder, "documents"))
 
 
+@query
+def op11_patched_frames(spark: SparkSession, folder: str) -> DataFrame:
+    return tokens.token_spans(table(spark, folder, "documents"))
+
+
 @query
 def op13_bit_plane_clusters(spark: SparkSession, folder: str) -> DataFrame:
     return bitplanes.cluster(table(spark, folder, "embeddings"))
