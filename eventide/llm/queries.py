@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from eventide.llm import bitplanes, contamination, exact, language, pages, pieces, ppm, sharding, simhash, tokens, toxicity, warc
+from eventide.llm import bitplanes, contamination, exact, language, negatives, pages, pieces, ppm, sharding, simhash, tokens, toxicity, warc
 from eventide.llm.common import shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,6 +105,24 @@ def op11_patched_frames(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.token_spans(table(spark, folder, "documents"))
 
 
+@query
+def op12_one_bit_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return negatives.mine(table(spark, folder, "embeddings"))
+
+
+CHECKS["op12_one_bit_negatives"] = """
+WITH v AS MATERIALIZED (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS c FROM embeddings
+  WHERE label IS NOT NULL AND vec_id IS NOT NULL AND len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NOT NULL AND isfinite(x)]) = len(embedding)),
+s AS MATERIALIZED (SELECT a.vec_id AS anchor_id, v.vec_id, v.label = a.label AS same, CAST(list_inner_product(a.c, v.c) AS BIGINT) AS score
+  FROM v a JOIN v ON v.vec_id <> a.vec_id AND len(v.c) = len(a.c) WHERE a.vec_id % 50 = 0),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 3"""
+
+
 @query
 def op13_bit_plane_clusters(spark: SparkSession, folder: str) -> DataFrame:
     return bitplanes.cluster(table(spark, folder, "embeddings"))

@@ -16,7 +16,7 @@ FOLDER = os.environ.get("EVENTIDE_TEST_FOLDER", "/root/testdata/sf0.001")
 
 
 def test_names():
-    assert [n for n in range(1, 11) if not any(q.startswith(f"op{n}_") for q in QUERIES)] == []
+    assert [n for n in range(1, 14) if not any(q.startswith(f"op{n}_") for q in QUERIES)] == []
     assert "pipeline" in QUERIES and set(CHECKS) <= set(QUERIES)
 
 
