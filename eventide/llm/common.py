@@ -38,6 +38,12 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of :func:`shared_folder` that nothing reads any more."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def send(spark: SparkSession, model: object) -> Broadcast:
     """Broadcast a model of bounded size; pickled by value, as executors have no copy of its class."""
     return spark.sparkContext.broadcast(cloudpickle.dumps(model))

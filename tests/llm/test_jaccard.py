@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+
 import corpus_pipeline
 from eventide.llm import jaccard
 from eventide.llm.common import table
@@ -66,3 +68,24 @@ def test_odd_rows(odd, nothing):
 def test_long_first_word_is_no_shingle():
     text = "x" * (1 << 20) + " two three four five six"
     assert len(jaccard.shingle_set(text.encode())) == len(plain_set(text)) == 2
+
+
+def test_long_sets_about_the_limit(spark):
+    rng = random.Random(9)
+    base, rows = [f"w{rng.randrange(10**6)}" for _ in range(5000)], []
+    for n, edits in enumerate([0, 40, 90, 105, 112, 118, 130, 200, 600]):  # an edit changes five shingles
+        text = list(base)
+        for at in rng.sample(range(0, 5000, 6), edits):
+            text[at] = f"x{rng.randrange(10**6)}"
+        rows.append((n, " ".join(text[: 5000 - 100 * (n % 3)])))
+    assert sorted(r.doc_id for r in jaccard.deduplicate(spark.createDataFrame(rows, "doc_id long, text string")).collect()) == plain_kept(rows)
+
+
+def test_sketches_never_differ_in_more_bits_than_the_sets_in_tokens():
+    rng = np.random.default_rng(4)
+    for n in (1, 60, 1000, 1025, 2048, 2049, 9000):
+        a = np.unique(rng.integers(-(2**63), 2**63 - 1, n))
+        b = np.unique(np.concatenate([a[n // 20 :], rng.integers(-(2**63), 2**63 - 1, n // 9)]))
+        x, y = sorted((jaccard.sketch_of(a), jaccard.sketch_of(b)), key=len)
+        y = y[: len(x)] ^ y[len(x) :] if len(y) > len(x) else y
+        assert int(np.bitwise_count((x ^ y).view("<u8")).sum()) <= len(set(a.tolist()) ^ set(b.tolist()))

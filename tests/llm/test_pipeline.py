@@ -10,7 +10,8 @@ from eventide.llm.common import table
 from eventide.llm.queries import CHECKS, QUERIES
 from tests.compare import database, differences
 from tests.llm.test_contamination import plain
-from tests.llm.test_dedup import plain_components, plain_groups, plain_simhash
+from tests.llm.test_dedup import plain_groups
+from tests.llm.test_jaccard import plain_kept
 
 FOLDER = os.environ.get("EVENTIDE_TEST_FOLDER", "/root/testdata/sf0.001")
 
@@ -30,7 +31,7 @@ def test_stages_against_plain_versions(spark):
     judged = {r.doc_id for r in toxicity.judged(docs, table(spark, FOLDER, "labels")).collect() if not r.predicted}
     rows = {r.doc_id: r.text for r in docs.collect() if r.doc_id in judged}
     rows = {i: rows[i] for i in {k for _, k, _ in plain_groups(list(rows.items()))}}
-    names = {c for _, _, c in plain_components([(i, plain_simhash(t)) for i, t in rows.items()])}
+    names = set(plain_kept(list(rows.items())))  # five-word Jaccard of 0.8 or more, all pairs compared
     items = [(r.item_id, r.text) for r in table(spark, FOLDER, "benchmark").collect()]
     clean = {i for i in names if not plain(rows[i], items)[-1]}
 
