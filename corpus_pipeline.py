@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from eventide.llm import contamination, exact, jaccard, pieces, toxicity
-from eventide.llm.common import shared_folder, table
+from eventide.llm.common import remove_folder, shared_folder, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -24,7 +24,10 @@ def drop_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Of documents linked by a Jaccard similarity of at least 0.8 over five-word shingles the row with the smallest doc_id."""
+    """Of documents linked by a Jaccard similarity of at least 0.8 over five-word shingles the row with the smallest doc_id.
+
+    SimHash fingerprints and pivot distance tables name most candidates, prefixes of the shingle sets the others.
+    """
     return jaccard.deduplicate(docs)
 
 
@@ -51,10 +54,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, folder: str) -> DataFrame:
-    """All stages over ``documents``; each stage's result is written to the shared folder and read again by the next."""
-    docs = table(spark, folder, "documents")
+    """All stages over ``documents``; each stage's result is written to the shared folder and read again by the next.
+
+    A stage's folder goes when the next one's is whole; the last one's stays, as the result reads it. Null and empty texts count as
+    clean; of several, one stays. Repeated ids are told apart by their texts. An empty table gives no rows.
+    """
+    docs, before = table(spark, folder, "documents"), None
     for name, stage in STAGES:
         place = shared_folder(spark, f"pipeline-{name}")
         stage(spark, docs, folder).write.parquet(place)
         docs = spark.read.parquet(place)
+        if before:
+            remove_folder(spark, before)
+        before = place
     return docs
