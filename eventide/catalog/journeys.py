@@ -313,7 +313,7 @@ def _(spark, folder):
     return rounded(late.watermark_tuning(load_events(spark, folder)), avg_close_delay_seconds=9)
 
 
-@register("firings", statement("""
+FIRED = """
 , w AS (
 SELECT window_start, window_end, min(processing_timestamp) + INTERVAL 5 MINUTE AS early_at,
        count(*) FILTER (lateness_class = 'on_time') AS on_time, count(*) FILTER (lateness_class = 'late') AS late,
@@ -323,13 +323,17 @@ x AS (
 SELECT w.*, (SELECT min(s.processing_timestamp) FROM ev s WHERE s.event_timestamp >= w.window_end + INTERVAL 10 MINUTE) AS closed_at,
        (SELECT count(*) FROM classed_10m c WHERE c.window_start = w.window_start AND c.lateness_class = 'on_time'
           AND c.processing_timestamp <= w.early_at) AS early
-FROM w)
+FROM w),
+fired AS (
 SELECT window_start, window_end, early AS count, 'EARLY' AS firing_type, early_at AS emitted_at FROM x
 WHERE early > 0 AND (closed_at IS NULL OR early_at < closed_at)
 UNION ALL
 SELECT window_start, window_end, on_time, 'ON_TIME', closed_at FROM x WHERE on_time > 0 AND closed_at IS NOT NULL
 UNION ALL
-SELECT window_start, window_end, on_time + late, 'LATE', last_late FROM x WHERE late > 0""", "classed_10m"))
+SELECT window_start, window_end, on_time + late, 'LATE', last_late FROM x WHERE late > 0)"""
+
+
+@register("firings", statement(FIRED + " SELECT * FROM fired", "classed_10m"))
 def _(spark, folder):
     return late.firings(load_events(spark, folder))
 

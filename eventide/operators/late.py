@@ -22,11 +22,13 @@ REASON = "Arrived after allowed lateness"  # fixed value
 ON_TIME, LATE, TOO_LATE = "on_time", "late", "too_late"
 
 
-def _with_newest(ev: DataFrame, arrival: Sequence[str] = ARRIVAL) -> DataFrame:
-    """Add ``_newest``: the newest event time among the events that arrived before."""
+def with_newest(ev: DataFrame, arrival: Sequence[str] = ARRIVAL, before: Column | None = None) -> DataFrame:
+    """Add ``_newest``: the newest event time among the events that arrived before. ``before`` is that of all events that arrived
+    before the first of ``ev``; with it, parts of a table one after the other give what the whole table gives."""
     known = ev.where(F.col("event_timestamp").isNotNull())
     newest = Running("max", F.col("event_timestamp"), inclusive=False)
-    return running(ordered_runs(known, [], arrival), [], arrival, _newest=newest).drop("_run")
+    found = running(ordered_runs(known, [], arrival), [], arrival, _newest=newest).drop("_run")
+    return found if before is None else found.withColumn("_newest", F.greatest("_newest", before))
 
 
 def window_columns(size: str) -> dict[str, Column]:
@@ -44,10 +46,10 @@ def lateness_class(watermark: Column, window_end: Column, lateness: str) -> Colu
 
 def classify_lateness(
     ev: DataFrame, ooo: str = OUT_OF_ORDER, lateness: str = LATENESS, size: str = SIZE,
-    arrival: Sequence[str] = ARRIVAL,
+    arrival: Sequence[str] = ARRIVAL, before: Column | None = None,
 ) -> DataFrame:
     return (
-        _with_newest(ev, arrival)
+        with_newest(ev, arrival, before)
         .withColumn("watermark", plus(F.col("_newest"), -duration_micros(ooo)))
         .withColumns(window_columns(size))
         .withColumn("lateness_class", lateness_class(F.col("watermark"), F.col("window_end"), lateness))
@@ -149,7 +151,7 @@ def late_updates(counts: DataFrame) -> DataFrame:
 # When windows close.
 
 
-def _closing_times(seen: DataFrame, targets: DataFrame) -> DataFrame:
+def closing_times(seen: DataFrame, targets: DataFrame) -> DataFrame:
     """For each ``_target`` the arrival of the first event that lifts the newest event time to it.
 
     ``seen`` has (event_timestamp, _newest, processing_timestamp). Only events that raise the newest
@@ -174,7 +176,7 @@ def watermark_tuning(
     """What each watermark delay (minutes) would keep and drop without allowed lateness, how long
     after its end a window closes on average, and the share of events kept."""
     minute = duration_micros("1 minute")
-    seen = _with_newest(ev.select("event_timestamp", *arrival), arrival).withColumns(window_columns(size)).checkpoint()
+    seen = with_newest(ev.select("event_timestamp", *arrival), arrival).withColumns(window_columns(size)).checkpoint()
     dropped = [
         F.count_if(F.coalesce(plus(F.col("_newest"), -d * minute) >= F.col("window_end"), F.lit(False))).alias(f"_dropped_{d}")
         for d in delays
@@ -189,7 +191,7 @@ def watermark_tuning(
     each = F.explode(F.array(*[F.lit(d).cast("long") for d in delays])).alias("delay_minutes")
     targets = ends.select("window_end", each)
     targets = targets.withColumn("_target", plus(F.col("window_end"), F.col("delay_minutes") * minute))
-    waits = _closing_times(seen, targets).where(F.col("closed_at").isNotNull())
+    waits = closing_times(seen, targets).where(F.col("closed_at").isNotNull())
     wait = (F.unix_micros("closed_at") - F.unix_micros("window_end")) / F.lit(1e6)
     closing = waits.groupBy("delay_minutes").agg(F.avg(wait).alias("avg_close_delay_seconds"))
     kept = F.col("_all") - F.col("dropped")
@@ -199,6 +201,19 @@ def watermark_tuning(
     )
 
 
+def counted_early(on_time: DataFrame, windows: DataFrame, early: str) -> DataFrame:
+    """(window_start, _early): events that arrived up to ``early`` after their window's ``_first``, its first arrival.
+
+    The early interval touches two arrival slots of its own length. Joining on them too leaves the rest of a heavy
+    window's events out, and the counts are partially aggregated after the join.
+    """
+    wait, arrived = duration_micros(early), F.col("processing_timestamp")
+    first_slot = slot(F.col("_first"), wait)
+    spans = windows.select("window_start", "_first", F.explode(F.array(first_slot, first_slot + wait)).alias("_slot"))
+    met = on_time.select("window_start", "processing_timestamp", slot(arrived, wait).alias("_slot")).join(spans, ["window_start", "_slot"])
+    return met.where(arrived <= plus(F.col("_first"), wait)).groupBy("window_start").agg(F.count(F.lit(1)).alias("_early"))
+
+
 def firings(
     ev: DataFrame, size: str = "10 minutes", early: str = "5 minutes", ooo: str = OUT_OF_ORDER,
     lateness: str = LATENESS, arrival: Sequence[str] = ARRIVAL,
@@ -209,7 +224,7 @@ def firings(
     is still open. ON_TIME: when the watermark passes the window's end. LATE: the count after the
     last late event, at its arrival. A window the watermark never passes has no ON_TIME row.
     """
-    seen = _with_newest(ev.select("event_timestamp", *arrival), arrival).withColumns(window_columns(size))
+    seen = with_newest(ev.select("event_timestamp", *arrival), arrival).withColumns(window_columns(size))
     mark = plus(F.col("_newest"), -duration_micros(ooo))
     seen = seen.withColumn("_class", lateness_class(mark, F.col("window_end"), lateness)).checkpoint()
 
@@ -220,21 +235,9 @@ def firings(
         F.count_if(kind == LATE).alias("_late"),
         F.max(F.when(kind == LATE, arrived)).alias("_last_late"),
     ).withColumn("_early_at", plus(F.col("_first"), duration_micros(early)))
-    # The early interval touches two arrival slots of its own length. Joining on them too leaves the
-    # rest of a heavy window's events out, and the counts are partially aggregated after the join.
-    wait = duration_micros(early)
-    first_slot = slot(F.col("_first"), wait)
-    spans = windows.select("window_start", "_early_at", F.explode(F.array(first_slot, first_slot + wait)).alias("_slot"))
-    early_counts = (
-        seen.where(kind == ON_TIME)
-        .select("window_start", "processing_timestamp", slot(arrived, wait).alias("_slot"))
-        .join(spans, ["window_start", "_slot"])
-        .where(arrived <= F.col("_early_at"))
-        .groupBy("window_start")
-        .agg(F.count(F.lit(1)).alias("_early"))
-    )
+    early_counts = counted_early(seen.where(kind == ON_TIME), windows, early)
     targets = windows.select("window_start", plus(F.col("window_end"), duration_micros(ooo)).alias("_target"))
-    closing = _closing_times(seen.select("event_timestamp", "_newest", "processing_timestamp"), targets)
+    closing = closing_times(seen.select("event_timestamp", "_newest", "processing_timestamp"), targets)
 
     wide = windows.join(early_counts, "window_start", "left").join(closing, "window_start", "left")
 

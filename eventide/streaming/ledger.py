@@ -2,26 +2,27 @@
 
 Spark's watermark drops late rows before any operator sees them, so the stream is left without one
 and the watermark is kept here: a ledger holds, per micro-batch, the newest event time up to and
-including it. A batch's rows are classified against the entry of the batch before, counted by class
-into a log of per-batch deltas, and the too-late ones go to a side table. Every output of a batch
-lies in a folder named after it, so a replayed batch replaces what it wrote before. The granularity
-is the micro-batch: rows of one batch do not make each other late.
+including it. Within a batch the watermark before each row is the batch operator's running maximum in
+arrival order, which starts from the entry of the batch before. So results don't depend on where the stream
+was cut into batches, as long as a batch's rows arrived after those of the batches before. Rows are counted by
+class into a log of per-batch deltas, and the too-late ones go to a side table. Every output of a batch
+lies in a folder named after it, so a replayed batch replaces what it wrote before.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from eventide.functions.timing import duration_micros, plus
-from eventide.operators.late import (
-    LATENESS, OUT_OF_ORDER, SIZE, TOO_LATE, count_by_class, final_counts, late_row, lateness_class, window_columns,
-)
+from eventide.operators.late import LATENESS, OUT_OF_ORDER, SIZE, TOO_LATE, classify_lateness, count_by_class, final_counts, late_row
+from eventide.operators.rows import ARRIVAL
 from eventide.sinks.tables import BATCH, ForeachBatch
 
 _LEDGER = "newest timestamp"
 
 
-def _newest_before(spark: SparkSession, path: str, batch_id: int):
+def newest_before(spark: SparkSession, path: str, batch_id: int):
     """Ledger entry of the batch before: one row in one file, whatever the stream's age."""
     if batch_id == 0:
         return None
@@ -29,21 +30,21 @@ def _newest_before(spark: SparkSession, path: str, batch_id: int):
 
 
 def late_ledger(
-    path: str, ooo: str = OUT_OF_ORDER, lateness: str = LATENESS, size: str = SIZE, key: str = "event_type"
+    path: str, ooo: str = OUT_OF_ORDER, lateness: str = LATENESS, size: str = SIZE, key: str = "event_type",
+    arrival: Sequence[str] = ARRIVAL,
 ) -> ForeachBatch:
     """The foreach-batch writer; ``path`` gets the folders ``ledger``, ``counts`` and ``late``."""
 
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        before = _newest_before(spark, path, batch_id)
-        mark = plus(F.lit(before).cast("timestamp"), -duration_micros(ooo))
-        tagged = batch.where(F.col("event_timestamp").isNotNull()).withColumns(window_columns(size))
-        classified = tagged.withColumn("lateness_class", lateness_class(mark, F.col("window_end"), lateness)).persist()
+        before = F.lit(newest_before(spark, path, batch_id)).cast("timestamp")
+        needed = dict.fromkeys(["event_id", "event_type", key, "event_timestamp", "processing_timestamp", *arrival])
+        classified = classify_lateness(batch.select(*needed), ooo, lateness, size, arrival, before).persist()
         try:
             count_by_class(classified, key).write.mode("overwrite").parquet(f"{path}/counts/{BATCH}={batch_id}")
             too_late = classified.where(F.col("lateness_class") == TOO_LATE).select(*late_row())
             too_late.write.mode("overwrite").parquet(f"{path}/late/{BATCH}={batch_id}")
-            newest = F.greatest(F.max("event_timestamp"), F.lit(before).cast("timestamp"))
+            newest = F.greatest(F.max("event_timestamp"), before)
             classified.agg(newest.alias("newest")).write.mode("overwrite").parquet(f"{path}/ledger/{BATCH}={batch_id}")
         finally:
             classified.unpersist()

@@ -4,7 +4,7 @@ import random
 from pyspark.sql import functions as F
 
 from eventide.operators import late
-from eventide.streaming import ledger, run
+from eventide.streaming import firings, ledger, run
 from tests.events import DAY, at, clock, event, frame
 
 # Event times in arrival order; one window of interest, [10:00, 10:05).
@@ -53,10 +53,54 @@ def test_ledger_survives_a_restart(spark, tmp_path):
         frame(spark, rows).write.mode("append").parquet(f"{out}/in")
         source = spark.readStream.schema(frame(spark, []).schema).parquet(f"{out}/in")
         run.batch_sink(source, ledger.late_ledger(out), f"{out}/state", every=None).awaitTermination()
-    # Two batches: the second is judged by the newest event time of the first, 10:15.
     counts = {clock(r.window_start): (r["count"], r.is_late_update) for r in ledger.ledger_counts(spark, out).collect()}
-    assert counts["10:00:00"] == (5, True)
-    assert ledger.ledger_late_events(spark, out).count() == 0
+    assert counts["10:00:00"] == (4, True)
+    assert [r.event_id for r in ledger.ledger_late_events(spark, out).collect()] == ["e000007"]
+
+
+def random_arrivals(seed, n=60):
+    """Events of an hour that arrive up to 40 minutes late; some share an arrival, some have no time."""
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        when = DAY + dt.timedelta(hours=10, minutes=rng.randrange(70), seconds=rng.randrange(60))
+        arrived = when + dt.timedelta(minutes=rng.choice([0, 0, 0, 1, 7, 16, 40]), seconds=rng.choice([0, 30]))
+        rows.append((arrived, i, None if rng.random() < 0.05 else when))
+    rows.sort(key=lambda r: r[:2])
+    return [event(seq, when or DAY, kind="ab"[seq % 2], arrived=arrived)[:5] + (when,) + event(seq, DAY, arrived=arrived)[6:] for arrived, seq, when in rows]
+
+
+def split(seed, rows, parts=3):
+    borders = sorted(random.Random(seed).choices(range(len(rows) + 1), k=parts - 1))
+    return [rows[a:b] for a, b in zip([0, *borders], [*borders, len(rows)])]
+
+
+def test_any_split_into_batches_gives_the_batch_rows(spark, tmp_path):
+    for seed in range(3):
+        rows, out = random_arrivals(seed), f"{tmp_path}/{seed}"
+        process = ledger.late_ledger(out)
+        for number, part in enumerate(split(seed, rows)):
+            process(frame(spark, part), number)
+        whole = frame(spark, rows)
+        assert sorted(ledger.ledger_counts(spark, out).collect()) == sorted(late.counts_with_late(whole).collect())
+        assert sorted(ledger.ledger_late_events(spark, out).collect()) == sorted(late.late_events(whole).collect())
+
+
+def test_firings_of_any_split(spark, tmp_path):
+    """Every EARLY and ON_TIME once; the last LATE, and all counts and times, are those of the batch operator."""
+    for seed in range(3):
+        rows, out = random_arrivals(seed + 10), f"{tmp_path}/{seed}"
+        process, parts = firings.firing_sink(out), split(seed, rows, 4)
+        for number, part in enumerate(parts):
+            process(frame(spark, part), number)
+            if number == 1:
+                process(frame(spark, part), number)  # a replayed batch
+        reached = max(r[10] for r in rows)
+        want = {tuple(r) for r in late.firings(frame(spark, rows)).collect() if r.firing_type != "EARLY" or r.emitted_at.replace(tzinfo=reached.tzinfo) < reached}
+        assert {tuple(r) for r in firings.last_firings(spark, out).collect()} == want
+        once = [(r.window_start, r.firing_type) for r in firings.fired_rows(spark, out).collect() if r.firing_type != "LATE"]
+        assert len(once) == len(set(once)) and {k for _, k in once} == {"EARLY", "ON_TIME"}
+        assert spark.read.parquet(f"{out}/open/batch_id=3").count() <= 8  # windows that can't change are gone
 
 
 def _random(n=2500, seed=2):
