@@ -1,11 +1,14 @@
 """Running aggregates in order, without ever putting one key's rows into one task.
 
 ``Window.partitionBy(key).orderBy(...)`` sends a whole key to one task, and with no key the whole
-table. Here the rows are range-partitioned on (keys, order) instead, so a heavy key, a heavy time
-bucket or a heavy group of equal timestamps is cut into runs of partition size. Windows work inside
-a run, and each run then gets what the earlier runs of its key add up to. A range partition boundary
-cuts at most one key, so this carried table has fewer rows than there are partitions: a broadcast
+table. Here a heavy key, or a heavy stretch of time, is cut into runs that are contiguous in (keys, order): borders come from
+a random sample of fixed size, and a row finds its run by comparing itself with them. Windows work inside
+a run, and each run then gets what the earlier runs of its key add up to. A border
+cuts at most one key, so this carried table has fewer rows than there are runs: a broadcast
 of proven size.
+
+Borders are literals in the plan and a row's run follows from the row alone, so all branches of a plan agree, rows are exchanged
+once, straight to their run, and totals of runs are partially aggregated before they are.
 """
 
 from __future__ import annotations
@@ -15,7 +18,7 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from eventide.session import checkpoint_root
 
@@ -40,14 +43,46 @@ _JOIN = {
 }
 
 
-def ordered_runs(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Cut ``df`` into runs that are contiguous in (keys, order), numbered by ``_run``.
+def ordered_runs(df: DataFrame, keys: Sequence[str], order: Sequence[str], share: int = 4, sampled: int = 20) -> DataFrame:
+    """Number the runs of ``df``, contiguous in (keys, order), by ``_run``: about ``share`` per shuffle partition.
 
-    Rows equal in keys and order, copies of one row included, may be cut apart as well: the input
+    ``sampled`` rows per run come to the driver, chosen by a random number, whatever the size of ``df``. Rows equal in keys and order share a run; if
+    the sample shows more of such rows than a run should have, they are cut apart by :func:`shuffled_runs` instead.
+    """
+    spark = df.sparkSession
+    runs = share * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    place = _place(df, [*keys, *order])
+    sample = df.select(place.alias("p")).orderBy(F.rand(7)).limit(min(sampled * runs, 100_000)).orderBy("p").collect()
+    step = max(1, -(-len(sample) // runs))
+    borders = [tuple(r["p"]) for r in sample[step::step]]
+    if len(set(borders)) < len(borders):
+        return shuffled_runs(df, keys, order)
+    return df.withColumn(RUN, _below(place, borders, df.select(place.alias("p")).schema["p"].dataType))
+
+
+def _place(df: DataFrame, columns: Sequence[str]) -> Column:
+    """A row's place in the order as one comparable value; times as microseconds, which literals hold without a time zone."""
+    times = {f.name for f in df.schema if isinstance(f.dataType, T.TimestampType)}
+    return F.struct(*[(F.unix_micros(c) if c in times else F.col(c)).alias(f"c{i}") for i, c in enumerate(columns)])
+
+
+def _below(place: Column, borders: list[tuple], kind: T.StructType) -> Column:
+    """How many borders are not above the row's place: a binary search through a constant array, nulls first as in windows."""
+    if not borders:
+        return F.lit(0)
+    literal = lambda row: F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, kind, strict=True)])
+    known = F.array(*[literal(row) for row in borders])
+    steps = [1 << i for i in range(len(borders).bit_length() - 1, -1, -1)]
+    further = lambda low, step: F.when(F.get(known, low + step - 1) <= place, low + step).otherwise(low)
+    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), further)
+
+
+def shuffled_runs(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The same by a range shuffle, which may also cut rows equal in keys and order, copies of one row included: the input
     partition they come from is the last sort column. It stays the same when a task is repeated.
 
-    The result is checkpointed: run borders come from sampling, so two branches planning the
-    range shuffle on their own could cut at different places.
+    The result is checkpointed: its borders come from sampling inside the shuffle, so two branches planning it on their own
+    could cut at different places.
     """
     checkpoint_root(df.sparkSession)
     traced = df.withColumn(_ORIGIN, F.spark_partition_id())

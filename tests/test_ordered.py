@@ -3,7 +3,7 @@
 import random
 
 from hypothesis import HealthCheck, given, settings, strategies as st
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from eventide.plans.ordered import RUN, Running, ordered_runs, running
 
@@ -81,3 +81,23 @@ def test_without_keys_and_descending_minimum(spark):
         least = min(least, value)
         want[number] = least
     assert {r["number"]: r["least"] for r in out.collect()} == want
+
+
+def test_rows_are_exchanged_once_and_nothing_is_checkpointed(spark):
+    df = spark.range(20_000).selectExpr("cast(id % 50 as string) as key", "id as at", "id as value")
+    plan = running(ordered_runs(df, ["key"], ["at"]), ["key"], ["at"], total=Running("sum", F.col("value")))._jdf.queryExecution().executedPlan().toString()
+    main = plan.split("BroadcastExchange")[0]
+    assert main.count("Exchange hashpartitioning") == 1 and "rangepartitioning" not in plan and "ExistingRDD" not in plan
+    assert "partial_sum" in plan.split("BroadcastExchange")[1]  # totals of runs are small before they are shuffled
+
+
+def test_places_of_every_kind(spark):
+    rows = [(k, t, x) for k in (None, "", "ä", "b") for t in (None, "1969-12-31 23:59:59.999999", "2024-03-31 02:30:00") for x in (None, float("nan"), -1.0, 0.0)]
+    df = spark.createDataFrame(rows * 3, "key string, t string, x double").selectExpr("key", "cast(t as timestamp) as t", "x").repartition(5)
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    try:
+        runs = ordered_runs(df, ["key"], ["t", "x"], share=2, sampled=4)
+        borders = [tuple(r) for r in runs.groupBy(RUN).agg(F.min(F.struct("key", "t", "x")).alias("a"), F.max(F.struct("key", "t", "x")).alias("b")).orderBy("a").select((F.lag("b").over(Window.orderBy("a")) < F.col("a")).alias("ok"), RUN).collect()]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert len(borders) > 2 and all(ok for ok, _ in borders[1:]) and [n for _, n in borders] == sorted(n for _, n in borders)
