@@ -10,7 +10,7 @@ from eventide.operators import anomalies, counting, joins, rows, windows
 from eventide.sinks import tables
 from eventide.sources import ingest
 from eventide.sources.contract import clickstream_contract, contract_audit, contract_schema
-from eventide.sources.events import CLICK, PAGE_VIEW, PURCHASE, load_events
+from eventide.sources.events import CHANNELS, CLICK, PAGE_VIEW, PURCHASE, load_events
 from eventide.sources.messages import message_log
 
 SCHEMA = contract_schema(clickstream_contract())
@@ -88,9 +88,9 @@ def _(spark, folder):
 @register("union_channels", statement("""
 SELECT channel, event_type, count(*) AS count FROM ev GROUP BY ALL""", "ev"))
 def _(spark, folder):
+    # Events without a channel (an event without an id has none) are a source of their own.
     ev = load_events(spark, folder)
-    names = sorted(r["channel"] for r in ev.select("channel").where("channel is not null").distinct().collect())
-    sources = {c: ev.where(F.col("channel") == c).drop("channel") for c in names}
+    sources = {c: ev.where(F.col("channel").eqNullSafe(F.lit(c).cast("string"))).drop("channel") for c in [*CHANNELS, None]}
     return ingest.union_channels(sources).groupBy("channel", "event_type").count()
 
 

@@ -19,15 +19,21 @@ def interval_join(
     so a heavy key is spread over its slots. A stream-stream join gets the plain range condition,
     from which Spark derives how long to keep state. ``how`` is any join type of Spark; right rows that
     meet nothing come from an anti-join, as each of their two copies would look unmatched, and keep their key.
+    A range of no length joins equal times; a negative one is refused.
     """
     how = how.replace("_", "").removesuffix("outer")
     width = duration_micros(lower)
+    if width < 0:
+        raise ValueError(f"a range of {lower} holds nothing")
     in_range = (F.col(right_time) >= plus(F.col(left_time), -width)) & (F.col(right_time) <= F.col(left_time))
     other = f"_{key}"
     right = right.withColumnRenamed(key, other)
     if left.isStreaming or right.isStreaming:
         bounded = (F.col(right_time) >= F.col(left_time) - F.expr(f"INTERVAL {lower}")) & (F.col(right_time) <= F.col(left_time))
         return left.join(right, (F.col(key) == F.col(other)) & bounded, how).drop(other)
+    if not width:
+        met = left.join(right, (F.col(key) == F.col(other)) & (F.col(left_time) == F.col(right_time)), how)
+        return met.withColumn(key, F.coalesce(key, other)).drop(other) if how in ("right", "full") else met.drop(other)
     if how in ("right", "full"):
         kept = "left" if how == "full" else "inner"
         met = interval_join(left, right.withColumnRenamed(other, key), key, left_time, right_time, lower, kept)
@@ -43,6 +49,14 @@ def interval_join(
     return left.join(right, same & in_range, how).drop(other, "_left_slot", "_right_slot")
 
 
+def _one_match_each(how: str) -> str:
+    """An as-of join keeps left rows, with or without those that have no match; anything else is refused."""
+    plain = how.replace("_", "").removesuffix("outer")
+    if plain not in ("left", "inner"):
+        raise ValueError(f"an as-of join is left or inner, not {how}")
+    return plain
+
+
 def asof_join_stream(
     left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str,
     within: str = "5 minutes", how: str = "left",
@@ -53,6 +67,7 @@ def asof_join_stream(
     clears both. A row comes out once the watermark says that no newer match can arrive. Left rows must differ, for
     instance by an event id.
     """
+    how = _one_match_each(how)
     values = [c for c in right.columns if c not in (key, right_time)]
     met = interval_join(left, right, key, left_time, right_time, within, how)
     newest = F.max(F.when(F.col(right_time).isNotNull(), F.struct(right_time, *values))).alias("_match")
@@ -69,8 +84,9 @@ def asof_join(
     Both sides are put in one order and the newest right row is carried along as a running maximum
     over runs: no pairs are formed, and neither a heavy key nor a heavy moment ends up in one task.
     Right rows of one moment rank by their columns in schema order. As in any join a null key matches
-    nothing, and nor does a null time.
+    nothing, and nor does a null time. ``how`` is left or inner.
     """
+    how = _one_match_each(how)
     unkeyed = left.where(F.col(key).isNull() | F.col(left_time).isNull())
     left = left.where(F.col(key).isNotNull() & F.col(left_time).isNotNull())
     right = right.where(F.col(key).isNotNull() & F.col(right_time).isNotNull())

@@ -15,6 +15,8 @@ from eventide.session import prepare
 # Roles the table's event types play in the operators.
 PAGE_VIEW, CLICK, CART, CHECKOUT, PURCHASE = "view", "click", "signup", "error", "purchase"
 
+CHANNELS = ["web", "app", "email"]
+
 RAW_SCHEMA = T.StructType(
     [
         T.StructField("event_id", T.LongType()),
@@ -43,7 +45,7 @@ def canonical(raw: DataFrame) -> DataFrame:
         at.alias("event_timestamp"),
         _pick(["mobile", "desktop", "tablet"], user % 3).alias("device_type"),
         _pick(["US", "DE", "JP", "BR"], user % 4).alias("country"),
-        _pick(["web", "app", "email"], number % 3).alias("channel"),
+        _pick(CHANNELS, number % 3).alias("channel"),
         F.col("value").alias("price"),
         plus(at, delay * 60_000_000).alias("processing_timestamp"),
     )

@@ -112,9 +112,9 @@ def split_sink(schema: T.StructType, good: str, bad: str, *keep: str, required:
     return write
 
 
-def union_channels(channels: dict[str, DataFrame]) -> DataFrame:
-    """Events of several sources in one frame, labelled with their channel."""
-    labelled = [df.withColumn("channel", F.lit(name)) for name, df in channels.items()]
+def union_channels(channels: dict[str | None, DataFrame]) -> DataFrame:
+    """Events of several sources in one frame, labelled with their channel; a source without a name has the channel null."""
+    labelled = [df.withColumn("channel", F.lit(name).cast("string")) for name, df in channels.items()]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), labelled)
 
 
