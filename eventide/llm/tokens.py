@@ -184,7 +184,7 @@ class Pieces:
     taken from a table. Texts with other spaces are encoded whole.
     """
 
-    def __init__(self, definition: str, end: int, most: int = 1 << 20) -> None:
+    def __init__(self, definition: str, end: int, most: int = 1 << 21) -> None:
         from tokenizers import Tokenizer
 
         self.encoder, self.end, self.most = Tokenizer.from_str(definition), np.array([end], "<u4").tobytes(), most
@@ -205,10 +205,12 @@ class Pieces:
         """Where each of the different ``pieces`` stands in the table, new ones added to it."""
         if len(self.known) > self.most:
             self.forget()
-        at = pc.index_in(pieces, value_set=self.known)
-        fresh = pieces.filter(pc.is_null(at))
+        found = pc.index_in(pieces, value_set=self.known)
+        new = pc.is_null(found)
+        fresh, at = pieces.filter(new), pc.fill_null(found, -1).to_numpy(zero_copy_only=False).astype(np.int64)
         if not len(fresh):
-            return at.to_numpy()
+            return at
+        at[at < 0] = len(self.known) + np.arange(len(fresh))
         plain = pc.match_substring_regex(fresh, PLAIN).to_numpy(zero_copy_only=False)
         sizes, numbers = np.full(len(fresh), -1, np.int64), [self.numbers]
         rows = np.flatnonzero(plain)
@@ -222,7 +224,7 @@ class Pieces:
         self.sizes = np.concatenate([self.sizes, sizes])
         filled = np.maximum(self.sizes, 0)
         self.places = np.cumsum(filled) - filled
-        return pc.index_in(pieces, value_set=self.known).to_numpy()
+        return at
 
     def encode(self, texts: pa.StringArray) -> list[bytes]:
         """Numbers of each whole text and the end, as u4; null is as empty."""
