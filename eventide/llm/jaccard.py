@@ -177,7 +177,7 @@ def may_meet() -> Column:
     return (9 * (F.col("n") - F.col("at")) >= needed) & (9 * (F.col("_n") - F.col("_at")) >= needed)
 
 
-def roots_of(nodes: DataFrame, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, turns: int = 1) -> DataFrame:
+def roots_of(nodes: DataFrame, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, turns: int = 0) -> DataFrame:
     """(node, root) of sets linked to others by a chain of pairs at Jaccard >= 0.8; sets without such a pair don't appear.
 
     Pairs near by fingerprint are compared first. Then sets that share a prefix token: each with one of the token's sets, another
