@@ -15,20 +15,18 @@ BITS, BLOCK = 64, 16
 
 def simhash(data: bytes, shingle: int = 3) -> int:
     """The fingerprint of a whole text: bit i is 1 if set in over half the shingles' XXH64 (seed 42); signed, 0 if no words."""
-    ones, total = np.zeros(BITS, np.int64), 0
+    ones, total, few = np.zeros(BITS, np.int64), 0, []
     for words in word_blocks(data.lower(), overlap=shingle - 1):
-        if len(words) >= shingle:
-            shingles = map(b" ".join, zip(*(words[i:] for i in range(shingle)), strict=False))
-        elif words and not total:
-            shingles = [b" ".join(words)]
-        else:
-            continue
+        few = words  # of a text of fewer words the last block has all
+        shingles = map(b" ".join, zip(*(words[i:] for i in range(shingle)), strict=False))
         hashes = np.array([xxhash.xxh64_intdigest(s, 42) for s in shingles], "<u8")
         total += len(hashes)
         for at in range(0, len(hashes), 1 << 16):
             part = hashes[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8)
             ones += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > total, bitorder="little").view("<i8")[0]) if total else 0
+    if not total:
+        return int(np.uint64(xxhash.xxh64_intdigest(b" ".join(few), 42)).astype(np.int64)) if few else 0
+    return int(np.packbits(2 * ones > total, bitorder="little").view("<i8")[0])
 
 
 def fingerprints(docs: DataFrame, text: str = "text", shingle: int = 3) -> Column:

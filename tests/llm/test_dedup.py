@@ -61,6 +61,12 @@ def plain_simhash(text):
     return sum(1 << b for b in range(64) if 2 * ones[b] > len(shingles))
 
 
+def test_simhash_of_words_longer_than_a_block():
+    long = "x" * (1 << 20)
+    for text in (f"{long} two three four five", f"one {long}y three", f"{long} {long}z", f"one {long} two {long} three", long, f"{long} ", " " * (1 << 20) + " a b"):
+        assert simhash.simhash(text.encode()) % (1 << 64) == plain_simhash(text), text[:4]
+
+
 def plain_components(prints):
     """{row: smallest id reachable} of (id, fingerprint) rows linked at two or fewer bits."""
     root = list(range(len(prints)))
