@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import heapq
 import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from string import punctuation as PUNCTUATION
 
 import numpy as np
 import pandas as pd
@@ -21,21 +21,29 @@ EDGE_OPEN, EDGE_CLOSE = "\x02", "\x03"
 SPACED = re.compile(r"(?<!\w)\w(?:[\W_]{1,3}\w(?!\w)){2,}")
 MARKS = re.compile(r"[\W_]+")
 EDGES = re.compile(r"^[\W_]+|[\W_]+$")
+SHAPE = bytes(ord("a") if chr(i).isalnum() else ord(" ") for i in range(128)) + bytes(128)
+SHAPES = re.compile(rb" a {1,3}a {1,3}a ")  # three letters alone, in a text as SHAPE shows it
 
 
-def units(text: str) -> set[str]:
-    """What a text is judged by: its words in lower case, and runs of single letters (``i d i o t``) as one word each."""
+def units(text: str) -> tuple[set[str], int]:
+    """What a text is judged by: its words in lower case, and runs of single letters (``i d i o t``) as one word each.
+
+    They come without ASCII punctuation around them, and with how many there were before that.
+    """
     low = text.lower()
     found = set(low.split())
-    found.update(MARKS.sub("", m) for m in SPACED.findall(low))
-    return found
+    if not low.isascii() or "_" in low or SHAPES.search(f" {low} ".encode().translate(SHAPE)):
+        found.update(MARKS.sub("", m) for m in SPACED.findall(low))
+    return {word.strip(PUNCTUATION) for word in found}, len(found)
 
 
 def pieces(unit: str) -> list[str]:
     """A word without punctuation around it, and without any if it has some inside; longer ones as overlapping pieces."""
-    if len(unit) <= LONGEST and unit.isalpha():
+    if len(unit) <= LONGEST and unit.isalnum():
         return [unit]
     bare = EDGES.sub("", unit)
+    if len(bare) <= LONGEST and bare.isalnum():
+        return [bare]
     out = []
     for form in dict.fromkeys((bare, MARKS.sub("", bare))):
         if len(form) <= LONGEST:
@@ -67,9 +75,11 @@ def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     if not found:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
     key = np.concatenate([row * FEATURES + feature for row, feature, _ in found])
-    unique, inverse = np.unique(key, return_inverse=True)
-    total = np.bincount(inverse, np.concatenate([np.full(len(row), weight) for row, _, weight in found]), len(unique))
-    word, feature = unique // FEATURES, unique % FEATURES
+    order = np.argsort(key.astype(np.uint32) if len(words) <= 1 << 12 else key)  # FEATURES are 1 << 20
+    key = key[order]
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    total = np.add.reduceat(np.repeat([weight for _, _, weight in found], [len(row) for row, _, _ in found])[order], first)
+    word, feature = key[first] // FEATURES, key[first] % FEATURES
     norm = np.sqrt(np.bincount(word, total**2, len(words)))
     return word, feature, total / norm[word]
 
@@ -79,7 +89,7 @@ class Landmarks:
     """Landmark words, inverted: for each feature in use the landmarks that have it, with weights."""
 
     words: list[str]
-    features: np.ndarray
+    place: np.ndarray  # of each of FEATURES among those in use, -1: in no landmark
     starts: np.ndarray
     owners: np.ndarray
     weights: np.ndarray
@@ -89,16 +99,18 @@ def landmarks(words: list[str]) -> Landmarks:
     word, feature, weight = subsequences(words)
     order = np.argsort(feature, kind="stable")
     features, starts = np.unique(feature[order], return_index=True)
-    return Landmarks(words, features, np.append(starts, len(order)), word[order], weight[order])
+    place = np.full(FEATURES, -1, np.int32)
+    place[features] = np.arange(len(features))
+    return Landmarks(words, place, np.append(starts, len(order)), word[order], weight[order])
 
 
 def kernel(words: list[str], marks: Landmarks) -> np.ndarray:
     """Kernel of each word with each landmark, 0 to 1: the cosine of their subsequences to the POWER, itself a kernel."""
     word, feature, weight = subsequences(words)
-    if not len(word) or not len(marks.features):
+    if not len(word) or not len(marks.owners):
         return np.zeros((len(words), len(marks.words)))
-    place = np.minimum(np.searchsorted(marks.features, feature), len(marks.features) - 1)
-    hit = marks.features[place] == feature
+    place = marks.place[feature]
+    hit = np.flatnonzero(place >= 0)
     word, place, weight = word[hit], place[hit], weight[hit]
     many = marks.starts[place + 1] - marks.starts[place]
     which = np.repeat(np.arange(len(word)), many)
@@ -133,29 +145,37 @@ class Judge:
     """The highest decisions of a text's different words; words once judged are remembered."""
 
     def __init__(self, model: Model, most: int = 500_000) -> None:
-        self.model, self.most, self.seen = model, most, {}
+        self.model, self.most, self.seen, self.judged = model, most, {}, {}
         self.lowest = float(model.bias)
 
     def learn(self, fresh: list[str]) -> None:
         for at in range(0, len(fresh), 4000):
             part = fresh[at : at + 4000]
-            cut = [pieces(unit) for unit in part]
-            owner = np.repeat(np.arange(len(part)), [len(c) for c in cut])
-            highest = np.full(len(part), self.lowest)
-            np.maximum.at(highest, owner, self.model.decisions([p for c in cut for p in c]))
-            self.seen.update(zip(part, highest.tolist(), strict=True))
+            cut = {unit: found for unit in part if (found := pieces(unit)) != [unit]}
+            new = list(({unit for unit in part if unit not in cut} | {p for found in cut.values() for p in found}) - self.judged.keys())
+            self.judged.update(zip(new, np.maximum(self.model.decisions(new), self.lowest).tolist(), strict=True))
+            for unit in part:
+                self.seen[unit] = max(map(self.judged.__getitem__, cut[unit]), default=self.lowest) if unit in cut else self.judged[unit]
 
     def shown(self, texts: list[str | None]) -> np.ndarray:
-        """A row per text: its HIGHEST decisions in falling order, the logarithm of its number of different words, 1."""
+        """A row per text: its HIGHEST decisions in falling order, the logarithm of its number of different words, 1.
+
+        Most texts have that many among the batch's upper twentieth of words, and the others needn't be looked up.
+        """
         if len(self.seen) > self.most:
             self.seen.clear()
-        of = [units(text) if text else () for text in texts]
-        self.learn([u for u in set().union(*of) if u not in self.seen])
+            self.judged.clear()
+        of = [units(text) if text else (set(), 0) for text in texts]
+        every = list(set().union(*(found for found, _ in of)))
+        self.learn([u for u in every if u not in self.seen])
+        decided = np.array([self.seen[u] for u in every])
+        high = {every[i] for i in np.flatnonzero(decided > np.quantile(decided, 0.95))} if every else set()
         out = np.full((len(texts), HIGHEST + 2), self.lowest)
-        for row, found in zip(out, of, strict=True):
-            top = heapq.nlargest(HIGHEST, map(self.seen.__getitem__, found))
+        for row, (found, many) in zip(out, of, strict=True):
+            among = found & high
+            top = sorted(map(self.seen.__getitem__, among if len(among) >= HIGHEST else found), reverse=True)[:HIGHEST]
             row[: len(top)] = top
-            row[HIGHEST:] = math.log1p(len(found)), 1
+            row[HIGHEST:] = math.log1p(many), 1
         return out
 
 
@@ -292,7 +312,11 @@ def score(model: Model | None, text: Column) -> Column:
 
 
 def judged(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: float = 0.7) -> DataFrame:
-    """(id, held_out, score, predicted) per row. Other columns are ignored; repeated rows are judged alike."""
+    """(id, held_out, score, predicted) per row. Other columns are ignored; repeated rows are judged alike.
+
+    Null, empty and wordless texts get the score of a text that shows nothing. Texts are judged whole, whatever their length. An id with labels
+    of both kinds counts as toxic; labels without an id or without a row teach nothing, and without both labels every score is 0.
+    """
     model = fit(docs, labels, id_col, text_col)
     found = docs.select(F.col(id_col).alias("doc_id"), (fold(id_col, 3) == 1).alias("held_out"), score(model, F.col(text_col)).alias("score"))
     return found.withColumn("predicted", (F.col("score") >= limit).cast("int"))

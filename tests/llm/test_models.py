@@ -140,11 +140,45 @@ def test_kernel_equals_plain_subsequences():
 
 def test_units():
     assert toxicity.pieces("i.d*i-o.t!") == ["i.d*i-o.t", "idiot"]
-    assert toxicity.units("You  i d i o t, OK") >= {"you", "idiot", "ok"}
+    found, many = toxicity.units("You  i d i o t, OK OK!")
+    assert found == {"you", "idiot", "ok", *"idt", "o"} and many == 8  # ok and ok! are two
+    for text in ("a i d", "x é y z", "a_b_c", "i _d i", "a b", "1 2  3", "(i) (d) (i)", "a    b c", "is a b", ""):
+        want = {toxicity.MARKS.sub("", m) for m in toxicity.SPACED.findall(text)}
+        assert toxicity.units(text)[0] == {w.strip(toxicity.PUNCTUATION) for w in text.split()} | want, text
     assert toxicity.pieces("...") == [] and toxicity.pieces("(word)") == ["word"]
     assert "".join(p[: toxicity.LONGEST // 2] for p in toxicity.pieces("x" * 100)) and all(len(p) <= 24 for p in toxicity.pieces("x" * 100))
 
 
+def test_scores_equal_plain_ones():
+    marks = ["idiot", "stupid", "banana", "patient"]
+    model = toxicity.Model(toxicity.landmarks(marks), np.array([2.0, 1.5, -1.0, 0.5]), -0.7, np.array([1.5, 0.5, 0.2, 0.1, -0.3, -0.4]))
+    texts = [None, "", "...", "You idiot, you IDIOT!", "stup-id s t u p i d banana", "patient " * 50 + "idxiot", "one two three four five stupid", "é" * 60]
+
+    def plain(text):
+        low = (text or "").lower()
+        spaced = [toxicity.MARKS.sub("", m) for m in toxicity.SPACED.findall(low)]
+        written = {*low.split(), *spaced}
+        decisions = []
+        for word in {w.strip(toxicity.PUNCTUATION) for w in written}:
+            kernels = [[plain_kernel(p, m) for m in marks] for p in toxicity.pieces(word)]
+            decisions.append(max([model.bias, *(float(np.dot(k, model.vector)) + model.bias for k in kernels)]))
+        top = (sorted(decisions, reverse=True) + [model.bias] * toxicity.HIGHEST)[: toxicity.HIGHEST]
+        return 1 / (1 + math.exp(-np.dot([*top, math.log1p(len(written)), 1], model.weights)))
+
+    judge = toxicity.Judge(model)
+    for part in (texts, texts[::-1], texts[3:4], []):
+        assert np.allclose(model.probability(judge.shown(part)), [plain(t) for t in part])
+
+
+def test_contradicting_labels_count_as_toxic(spark):
+    docs = spark.createDataFrame([(i, "you utter moron" if i % 2 else f"a calm word{i} here") for i in range(60)], "doc_id long, text string")
+    labels = [(i, i % 2) for i in range(60)]
+    one = toxicity.judged(docs, spark.createDataFrame(labels, "doc_id long, toxic int")).collect()
+    both = toxicity.judged(docs, spark.createDataFrame(labels + [(i, 0) for i in range(1, 60, 2)], "doc_id long, toxic int")).collect()
+    assert sorted((r.doc_id, r.predicted) for r in one) == sorted((r.doc_id, r.predicted) for r in both)
+    assert all(r.predicted == r.doc_id % 2 for r in one)
+
+
 def test_toxic_rows_held_out(spark):
     docs, labels = table(spark, MIDDLE, "documents"), table(spark, MIDDLE, "labels")
     truth = {r.doc_id: r.toxic for r in labels.collect()}
