@@ -22,7 +22,7 @@ from eventide.sinks.tables import ForeachBatch
 from eventide.sources import ingest
 from eventide.sources.events import CART, CLICK, PAGE_VIEW, PURCHASE, load_events, stream_events
 from eventide.sources.messages import message_log
-from eventide.streaming import alerts, blocks, firings, ledger, run, stateful
+from eventide.streaming import alerts, blocks, closed, firings, ledger, run, stateful
 
 
 def _final(event_type: str | None = None) -> str:
@@ -319,3 +319,49 @@ def _(spark, folder):
     rates = lambda s: windows.sliding_rate(rows.with_watermark(s, "10 minutes"), CLICK)
     out = _deliveries(spark, folder, lambda path: alerts.alerts_sink(path, anomalies.rate_anomaly), rates)
     return alerts.alert_rows(spark, out)
+
+
+# Views of a delivery whose window the one before has closed are dropped by the watermark.
+_CLOSED_VIEWS = _CHUNKED + """,
+before AS (SELECT chunk, max(max(event_timestamp)) OVER (ORDER BY chunk ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest
+           FROM cut WHERE event_type = 'view' GROUP BY chunk),
+closed AS (SELECT * FROM (
+  SELECT time_bucket(INTERVAL 5 MINUTE, event_timestamp) AS window_start,
+         time_bucket(INTERVAL 5 MINUTE, event_timestamp) + INTERVAL 5 MINUTE AS window_end, page_url, count(*) AS count
+  FROM cut JOIN before USING (chunk)
+  WHERE event_type = 'view' AND (newest IS NULL OR time_bucket(INTERVAL 5 MINUTE, event_timestamp) + INTERVAL 5 MINUTE > newest - INTERVAL 10 MINUTE)
+  GROUP BY ALL)
+  WHERE window_end <= (SELECT max(event_timestamp) FROM cut WHERE event_type = 'view') - INTERVAL 10 MINUTE)"""
+
+
+def _closed_views(spark: SparkSession, folder: str, report: Callable[[DataFrame], DataFrame]) -> str:
+    views = lambda s: windows.page_views(rows.with_watermark(s, "10 minutes"), PAGE_VIEW)
+    return _deliveries(spark, folder, lambda path: closed.closed_windows_sink(path, report), views)
+
+
+@register("stream_top_n", statement(_CLOSED_VIEWS + """
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY window_start ORDER BY count DESC, page_url) AS rank FROM closed)
+WHERE rank <= 10""", "ev"))
+def _(spark, folder):
+    return closed.closed_windows(spark, _closed_views(spark, folder, windows.top_n_per_window))
+
+
+@register("stream_top_pages_latest", statement(_CLOSED_VIEWS + """
+SELECT *, rank() OVER (PARTITION BY window_start ORDER BY count DESC) AS rank FROM closed
+WHERE window_start = (SELECT max(window_start) FROM closed) ORDER BY rank, page_url LIMIT 10""", "ev"))
+def _(spark, folder):
+    return closed.newest_closed(spark, _closed_views(spark, folder, windows.top_pages_latest))
+
+
+# The oldest profile that the join still holds for a click is 6 hours older; a click is final when the watermark is past that.
+@register("stream_asof_join", statement("""
+SELECT c.event_id, c.user_id, c.event_timestamp,
+       CASE WHEN p.profile_ts >= c.event_timestamp - INTERVAL 6 HOUR THEN p.profile_ts END AS profile_ts,
+       CASE WHEN p.profile_ts >= c.event_timestamp - INTERVAL 6 HOUR THEN p.profile_value END AS profile_value
+FROM clicks c ASOF LEFT JOIN profiles p ON c.user_id = p.user_id AND c.event_timestamp >= p.profile_ts
+WHERE c.event_timestamp < least((SELECT max(event_timestamp) FROM clicks), (SELECT max(profile_ts) FROM profiles)) - INTERVAL 370 MINUTE""", "clicks", "profiles"))
+def _(spark, folder):
+    clicks, _unused = clicks_and_profiles(stream_events(spark, folder))
+    _unused, profiles = clicks_and_profiles(stream_events(spark, folder))
+    clicks, profiles = clicks.withWatermark("event_timestamp", "10 minutes"), profiles.withWatermark("profile_ts", "10 minutes")
+    return _appended(joins.asof_join_stream(clicks, profiles, "user_id", "event_timestamp", "profile_ts", "6 hours"))

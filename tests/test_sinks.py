@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from eventide.operators import counting, joins, rows, sessions, windows
 from eventide.sinks import tables
-from eventide.streaming import blocks, run, stateful
+from eventide.streaming import blocks, closed, run, stateful
 from tests.events import at, event, frame
 
 KEYS, UPDATES = ["id"], ["v"]
@@ -207,3 +207,27 @@ def test_asof_join_on_streams(spark, tmp_path):
 
     out = _stream(spark, path, [clicks + profiles, closing, [event(100, "20:01", "z", "click"), event(101, "20:01", "z", "profile")]], build)
     assert sorted((r.event_id, r.value) for r in out.collect()) == [("e000001", 2.0), ("e000002", None), ("e000003", None)]
+
+
+def test_reports_of_closed_windows(spark, tmp_path):
+    path = str(tmp_path)
+    first = [event(i, "10:01", page="/a") for i in range(3)] + [event(3, "10:02", page="/b"), event(4, "10:02", page="/c"), event(5, "10:07", page="/c")]
+    more = [event(6, "10:03", page="/b"), event(7, "10:03", page="/b"), event(8, "10:20", page="/d")]  # late, but the window is still open
+    late = [event(9, "10:04", page="/e"), event(10, "10:40", page="/f")]  # too late: its window is closed
+    top = lambda batch: windows.top_n_per_window(batch, 2)
+    for delivery in (first, more, late):
+        frame(spark, delivery).coalesce(1).write.mode("append").parquet(f"{path}/in")
+        source = rows.with_watermark(spark.readStream.schema(frame(spark, []).schema).parquet(f"{path}/in"), "10 minutes")
+        run.batch_sink(windows.page_views(source, "view"), closed.closed_windows_sink(path, top), f"{path}/state", every=None).awaitTermination()
+    found = [(r.window_start.strftime("%H:%M"), r.page_url, r["count"], r["rank"]) for r in closed.closed_windows(spark, path).collect()]
+    assert sorted(found) == [("10:00", "/a", 3, 1), ("10:00", "/b", 3, 2), ("10:05", "/c", 1, 1), ("10:20", "/d", 1, 1)]
+    assert [r.page_url for r in closed.newest_closed(spark, path).collect()] == ["/d"]
+
+
+def test_replayed_batch_of_closed_windows_replaces_its_rows(spark, tmp_path):
+    write = closed.closed_windows_sink(str(tmp_path), windows.top_pages_latest)
+    counts = windows.page_views(frame(spark, [event(1, "10:01", page="/a"), event(2, "10:06", page="/b")]), "view")
+    for _ in range(2):
+        write(counts, 0)
+    write(counts.limit(0), 1)
+    assert [(r.page_url, r["rank"]) for r in closed.newest_closed(spark, str(tmp_path)).collect()] == [("/b", 1)]
