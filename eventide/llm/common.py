@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import pickle
 import uuid
 from collections.abc import Iterator
@@ -44,6 +45,15 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Have Spark remove the shuffle files and broadcasts of what nothing refers to any more.
+
+    It does so when the driver collects garbage, which a driver with little to do puts off while the executors' disks fill.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def send(spark: SparkSession, model: object) -> Broadcast:
     """Broadcast a model of bounded size; pickled by value, as executors have no copy of its class."""
     return spark.sparkContext.broadcast(cloudpickle.dumps(model))

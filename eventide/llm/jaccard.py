@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventide.llm.common import components, kept, received, send, shared_folder, small_batches, word_blocks
+from eventide.llm.common import components, kept, received, release, remove_folder, send, shared_folder, small_batches, word_blocks
 from eventide.llm.simhash import near_links, one_each, row_mark
 
 WORDS, SPREAD = 16, 1 << 22  # least longs of a parity sketch; places of a set of wanted rows
@@ -189,6 +189,7 @@ def roots_of(nodes: DataFrame, docs: DataFrame, id_col: str = "doc_id", text_col
     live = kept(meetings(nodes))
     met = live.where((F.col("node") != F.col("_node")) & close).select(*ends)
     links = test(fingerprint_pairs(nodes).unionByName(met))
+    release(docs.sparkSession)
     live = live.select("token", "node", "n", "at")
 
     def unjoined(known: DataFrame) -> DataFrame:
@@ -206,6 +207,7 @@ def roots_of(nodes: DataFrame, docs: DataFrame, id_col: str = "doc_id", text_col
     other = left.select("token", *[F.col(c).alias(f"_{c}") for c in ("node", "n", "at", "root")])
     apart = left.join(other, "token").where((F.col("node") < F.col("_node")) & (F.col("root") != F.col("_root")) & may_meet())
     rest = kept(likely(apart.select(*ends), nodes))
+    release(docs.sparkSession)
     return components(links.unionByName(similar(rest, nodes, docs, id_col, text_col, shingle)) if not rest.isEmpty() else links)
 
 
@@ -219,10 +221,17 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     spark = docs.sparkSession
     small_batches(spark)
 
+    release(spark)
     places = [shared_folder(spark, name) for name in ("prefixes", "nodes")]
     _prefixes(docs, id_col, text_col, shingle, common_tokens(docs, id_col, text_col, shingle)).write.parquet(places[0])
     prefixes = spark.read.parquet(places[0])
     of_node = F.min_by(F.struct("_key", "n", "fp", "sketch", "token"), "_key").alias("_n")  # copies of a set are one node
     prefixes.groupBy("node").agg(of_node).select("node", "_n.*").write.parquet(places[1])
+    thin = kept(prefixes.select("_id", "_mark", "node"))
+    remove_folder(spark, places[0])
+    release(spark)
     nodes = spark.read.parquet(places[1])
-    return one_each(docs, prefixes.select("_id", "_mark", "node"), roots_of(nodes, docs, id_col, text_col, shingle), id_col, text_col)
+    roots = kept(roots_of(nodes, docs, id_col, text_col, shingle))
+    remove_folder(spark, places[1])
+    release(spark)
+    return one_each(docs, thin, roots, id_col, text_col)
