@@ -10,10 +10,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventide.llm.common import fold, kept, received, send, small_batches, word_blocks
+from eventide.llm.common import fold, kept, received, release, send, small_batches, word_blocks
 
 ORDER = 5
 SYMBOLS = 256
@@ -222,24 +222,17 @@ def word_counts(texts: DataFrame, most: int = 500_000) -> DataFrame:
     return texts.select("text").mapInPandas(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-@dataclass
-class Model:
-    levels: list[Level]
-    words: dict[bytes, float]
-    end: float
+def train(docs: DataFrame, most: int | None = None) -> list[Level]:
+    """The trie of all ``text`` in the driver's memory, for a corpus that fits it; :func:`scores` keeps it in Spark tables instead.
 
-
-def train(docs: DataFrame, most: int = 1 << 20) -> list[Level]:
-    """The trie of all ``text``. Pairs of a context length rarer than 1 in ``most`` symbols are left out, whatever the size.
-
-    So a length has ``most`` pairs at most, which bounds what the driver gathers and sends. Counts cover every row; those of
-    shorter contexts are sums of those of the longest.
+    Counts cover every row; those of shorter contexts are sums of those of the longest. A caller may have pairs of a context length
+    rarer than 1 in ``most`` symbols left to the escape; by default none is.
     """
     longest = kept(gram_counts(docs))
     symbols = longest.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     each = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col("gram").bitwiseAND(F.lit(int(MASKS[k]))).alias("key")) for k in range(ORDER + 1)]))
     pairs = kept(longest.select(each.alias("p"), "n").groupBy("p.k", "p.key").agg(F.sum("n").alias("n")))
-    often = F.col("n") * most >= F.lit(symbols)
+    often = F.lit(True) if most is None else F.col("n") * most >= F.lit(symbols)
     contexts = pairs.groupBy("k", F.shiftright("key", 8).alias("key")).agg(F.sum("n").alias("n"), F.max(often).alias("some")).where("some").drop("some")
     levels = []
     for found in (pairs.where(often), contexts):
@@ -248,13 +241,86 @@ def train(docs: DataFrame, most: int = 1 << 20) -> list[Level]:
     return trie(*levels)
 
 
-def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", frequent: int = 1 << 20) -> DataFrame:
+def contexts_of(grams: DataFrame) -> DataFrame:
+    """The whole trie: (k, context, total, seen, gone, followers), a row per context of 0 to ORDER bytes. All pairs of ``grams`` (gram, n) are in.
+
+    ``followers`` maps each byte that followed, 256 at most, to its count; ``total`` adds these up and ``seen`` numbers them. ``gone`` is how
+    often the same bytes followed the context one byte shorter.
+    """
+    masked = lambda k: F.col("gram").bitwiseAND(F.lit(int(MASKS[k])))
+    each = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), masked(k).alias("key")) for k in range(ORDER + 1)]))
+    pairs = grams.select(each.alias("p"), "n").groupBy("p.k", "p.key").agg(F.sum("n").alias("n"))
+    shorter = F.get(F.array(*[F.col("key").bitwiseAND(F.lit(int(m))) for m in (0, *MASKS[:-1])]), F.col("k"))
+    pairs = pairs.withColumn("below", F.sum("n").over(Window.partitionBy("k", shorter)))
+    follower = F.struct(F.col("key").bitwiseAND(F.lit(255)).alias("s"), "n")
+    return pairs.groupBy("k", F.shiftright("key", 8).alias("context")).agg(
+        F.sum("n").alias("total"), F.count("*").alias("seen"), F.sum("below").alias("gone"), F.map_from_entries(F.collect_list(follower)).alias("followers")
+    )
+
+
+def gram_logs(contexts: DataFrame) -> DataFrame:
+    """(gram, n, log) of every pair of the longest contexts: what ``code_lengths`` gives where the longest context comes first."""
+    pairs = contexts.where(F.col("k") == ORDER).select("context", "total", F.explode("followers").alias("s", "n"))
+    return pairs.select(F.shiftleft("context", 8).bitwiseOR(F.col("s")).alias("gram"), "n", F.log10((F.col("n") - 0.5) / F.col("total")).alias("log"))
+
+
+def escaped_logs(grams: DataFrame, contexts: DataFrame) -> DataFrame:
+    """(gram, log) of different ``gram`` values that the longest contexts don't have, by escapes as in ``code_lengths``.
+
+    A gram meets its six contexts in a join. Those of no and one byte, 257 at most that every gram shares, are broadcast.
+    """
+
+    def met(orders: range, table: DataFrame) -> DataFrame:
+        context = lambda k: F.shiftright(F.col("gram").bitwiseAND(F.lit(int(MASKS[k]))), 8)
+        each = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), context(k).alias("context")) for k in orders]))
+        found = grams.select("gram", each.alias("c")).select("gram", "c.k", "c.context").join(table, ["k", "context"], "left")
+        count = F.element_at("followers", F.col("gram").bitwiseAND(F.lit(255)))
+        return found.select("gram", F.struct((-F.col("k")).alias("order"), "total", "seen", "gone", count.alias("count")).alias("c"))
+
+    every = met(range(2), F.broadcast(contexts.where("k < 2"))).unionByName(met(range(2, ORDER + 1), contexts.where("k >= 2")))
+    of = every.groupBy("gram").agg(F.sort_array(F.collect_list("c")).alias("c"))
+    log, still, gone, longer = F.lit(0.0), F.lit(True), F.lit(0), F.lit(0)
+    for i in range(ORDER + 1):
+        here = F.col("c")[i]
+        total, seen, count = here["total"] - gone, here["seen"] - longer, here["count"]
+        add = F.when(count.isNotNull(), F.log10((count - 0.5) / total)).when(total > 0, F.log10(0.5 * seen / total))
+        log, still = log + F.when(still, F.coalesce(add, F.lit(0.0))).otherwise(0.0), still & count.isNull()
+        gone, longer = F.coalesce(here["gone"], F.lit(0)), F.coalesce(here["seen"], F.lit(0))
+    return of.select("gram", (log - F.when(still, F.log10(SYMBOLS - longer)).otherwise(0.0)).alias("log"))
+
+
+def least_count(grams: DataFrame, most: int) -> int:
+    """The least n that at most ``most`` of the rows (gram, n) reach, to an eighth of a doubling: a row per step comes to the driver."""
+    step = F.floor(F.log2("n") * 8 + 1e-9).alias("step")
+    held, least = 0, 1 << 62
+    for r in sorted(grams.groupBy(step).agg(F.count("*").alias("many"), F.min("n").alias("n")).collect(), key=lambda r: -r["step"]):
+        held += r["many"]
+        if held > most:
+            break
+        least = r["n"]
+    return least
+
+
+@dataclass
+class Model:
+    """What tasks know without a join: logarithms of frequent grams and words, and of the end."""
+
+    grams: np.ndarray
+    logs: np.ndarray
+    words: dict[bytes, float]
+    end: float
+
+
+def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", frequent: int = 1 << 20, near: int = 1 << 20) -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) per row.
 
-    ``score`` is the pretrained trie's log10 probability of the text as its lower-cased words and an end. ``base_score`` is the smoothed
-    unigram score of the same tokens. Words of at least 1 in ``frequent`` training tokens (so that many at most) are sent to the
-    tasks with their logarithms; a text's other words leave the task as 16-byte digests and meet their counts in a join. Null and
-    empty texts have the end only. Repeated rows and ids are scored one by one; other columns are ignored.
+    ``score`` is the pretrained trie's log10 probability of the text as its lower-cased words and an end. The trie has all pairs of all
+    training rows and stays in Spark. ``base_score`` is the smoothed unigram score of the same tokens.
+
+    Words of at least 1 in ``frequent`` training tokens and the most counted ``near`` grams at most (a byte and its ORDER bytes before) are
+    sent to the tasks with their logarithms. A text's other words, as 16-byte digests, and other grams leave the task and meet the whole
+    tables in joins, so results don't depend on ``frequent`` or ``near``. Null and empty texts have the end only. Repeated rows and ids are scored
+    one by one; other columns are ignored.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -268,17 +334,31 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", freq
     log = lambda c: F.log10((c + 0.5) / F.lit(float(below)))
     often = F.col("n") * frequent >= F.lit(total)
     top = words.where(often).select("word", log(F.col("n")).alias("log")).toPandas()
-    model = Model(train(known), dict(zip(map(bytes, top["word"]), top["log"], strict=True)), float(np.log10((ends + 0.5) / below)))
+    longest = kept(gram_counts(known))
+    contexts, least = kept(contexts_of(longest)), least_count(longest, near)
+    grams = gram_logs(contexts)
+    held = grams.where(F.col("n") >= least).select("gram", "log").toArrow()
+    model = Model(held["gram"].to_numpy(), held["log"].to_numpy(), dict(zip(map(bytes, top["word"]), top["log"], strict=True)), float(np.log10((ends + 0.5) / below)))
     sent = send(spark, model)
+    del held, top, model
+    release(spark)
 
-    @F.pandas_udf("struct<n_tokens:long,n_known:long,base:double,score:double,rare:binary>")
+    @F.pandas_udf("struct<n_tokens:long,n_known:long,base:double,score:double,rare:binary,far:array<long>,times:array<long>>")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         m = received(sent)
+        places = Places(m.grams)
         for batch in batches:
             texts = list(batch)
             logs = np.zeros(len(texts))
+            far: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in texts]
             for key, of in slices(texts):
-                logs += np.bincount(of, code_lengths(key, m.levels), len(texts))
+                found = places.find(key)
+                hit = found >= 0
+                logs += np.bincount(of[hit], m.logs[found[hit]], len(texts))
+                key, of = key[~hit], of[~hit]
+                borders = np.flatnonzero(np.diff(of)) + 1
+                for part, text in zip(np.split(key, borders), of[np.append(0, borders)] if len(of) else [], strict=False):
+                    far[text].append(np.unique(part, return_counts=True))
             out = []
             for text in texts:
                 tokens, base, rare = 1, m.end, []
@@ -293,6 +373,9 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", freq
                 out.append((tokens, tokens - len(rare) - (not ends), base, b"".join(rare)))
             frame = pd.DataFrame(out, columns=["n_tokens", "n_known", "base", "rare"])
             frame.insert(3, "score", logs)
+            none = np.zeros(0, np.int64)
+            for i, name in enumerate(("far", "times")):
+                frame[name] = pd.Series([np.concatenate([none, *(x[i] for x in parts)]) for parts in far], dtype=object)
             yield frame
 
     scored = kept(rows.select(F.monotonically_increasing_id().alias("uid"), "doc_id", "held_out", score("text").alias("s")))
@@ -300,8 +383,16 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", freq
     rare = scored.where(F.octet_length("s.rare") > 0).select("uid", F.explode(digests).alias("digest"))
     counts = words.where(~often).select(F.unhex(F.md5("word")).alias("digest"), "n")
     met = rare.join(counts, "digest", "left").groupBy("uid").agg(F.sum(log(F.coalesce("n", F.lit(0)))).alias("_log"), F.count("n").alias("_known"))
-    whole = scored.join(met, "uid", "left")
+    far = scored.select("uid", F.explode(F.arrays_zip("s.far", "s.times")).alias("f")).select("uid", F.col("f.far").alias("gram"), F.col("f.times").alias("times"))
+    far = kept(far.join(grams.where(F.col("n") < least).select("gram", "log"), "gram", "left"))
+    strange = far.where("log is null").select("uid", "gram", "times")
+    escaped = strange.join(escaped_logs(strange.select("gram").distinct(), contexts), "gram")
+    coded_far = far.where("log is not null").select("uid", "times", "log").unionByName(escaped.select("uid", "times", "log"))
+    coded_far = coded_far.groupBy("uid").agg(F.sum(F.col("times") * F.col("log")).alias("_far"))
+    thin = scored.select("uid", "doc_id", "held_out", *[F.col(f"s.{c}").alias(c) for c in ("n_tokens", "n_known", "base", "score")])
+    whole = thin.join(met, "uid", "left").join(coded_far, "uid", "left")
     return whole.select(
-        "doc_id", "held_out", F.col("s.n_tokens").alias("n_tokens"), (F.col("s.n_known") + F.coalesce("_known", F.lit(0))).alias("n_known"),
-        F.lit(total).cast("long").alias("train_tokens"), (F.col("s.base") + F.coalesce("_log", F.lit(0.0))).alias("base_score"), F.col("s.score").alias("score"),
+        "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("_known", F.lit(0))).alias("n_known"),
+        F.lit(total).cast("long").alias("train_tokens"), (F.col("base") + F.coalesce("_log", F.lit(0.0))).alias("base_score"),
+        (F.col("score") + F.coalesce("_far", F.lit(0.0))).alias("score"),
     )

@@ -100,6 +100,21 @@ def test_trie_probabilities_add_up_to_one(spark):
         assert abs(p.sum() - 1) < 1e-9
 
 
+@pytest.mark.parametrize("settings", [{}, {"frequent": 20, "near": 20}])
+def test_scores_know_every_pair_of_a_large_corpus(spark, settings):
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choices("abcdé", k=rng.randint(1, 4)))
+    rows = [(0, "ab cd " * 180_000)] + [(i, " ".join(word() for _ in range(40))) for i in range(1, 40)] + [(40, "zq zq"), (41, "日本 xyz"), (42, None)]
+    held = [i for i, _ in rows if zlib.crc32(str(i).encode()) % 5 == 1]
+    train = [t for i, t in rows if i not in held]
+    assert 0 not in held and held and sum(len(ppm.coded(t)) for t in train) > 1 << 20
+    want = dict(zip([i for i, _ in rows], plain_ppm(train, [t for _, t in rows], 1 << 40), strict=True))
+    got = ppm.scores(spark.createDataFrame(rows, "doc_id long, text string"), **settings).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert abs(r.score - want[r.doc_id]) < 1e-6 * abs(want[r.doc_id]) + 1e-6
+
+
 @pytest.mark.parametrize("frequent", [1 << 20, 50])
 def test_base_scores(odd, nothing, frequent):
     rows = ppm.scores(odd, frequent=frequent).collect()
