@@ -33,6 +33,7 @@ TOKEN = re.compile(
 NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 LINES = "struct<levels:array<tinyint>,lines:array<string>>"
+SITE_PAGES = 4  # different pages of a host, over half of them too, that must share a line before it goes from an article
 
 
 def level_of(name: str, rest: str, above: int, inside: bool) -> int:
@@ -148,8 +149,8 @@ def closeness(a: str, b: str) -> int:
 
 
 KEY = ["host", "path", "page_id", "mark"]
-ROW = "host string, path string, page_id string, mark long, undecided boolean, lines array<long>"
-SHARED = "host string, mark long, shared array<int>"
+ROW = "host string, path string, page_id string, mark long, lines array<long>"
+SHARED = "host string, mark long, lines array<long>, shared array<int>"
 EDGE = f"edge boolean, starts boolean, ends boolean, {ROW}, other_path string, other_lines array<long>, shared array<int>"
 
 
@@ -168,7 +169,8 @@ def _pair(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         if before is None or after is None:
             inner = same[1] if before is None else same[0]
             return (True, before is None, after is None, *row[1:], *inner, None)
-        return (False, False, False, *row[1:], None, None, _differ(row, *same)) if row.undecided else None
+        found = _differ(row, *same)
+        return (False, False, False, *row[1:], None, None, found) if found else None
 
     before = row = None
     for batch in batches:
@@ -184,7 +186,7 @@ def _pair(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def shared_lines(lined: DataFrame) -> DataFrame:
-    """(host, mark, shared): for pages with undecided lines, the positions of those also on the page with the nearest URL.
+    """(host, mark, lines, shared): for every page, the positions of lines that are also on the page with the nearest URL; none: no row.
 
     ``mark`` tells the pages of a host apart; no two of them may have equal lines. Pages are put in order of host and path by sampled splitters, so a host of any size is spread, and only hashes of
     lines travel. A page's nearest is the one before or after it, on the same host, that shares more of the path. Pages at a
@@ -195,7 +197,7 @@ def shared_lines(lined: DataFrame) -> DataFrame:
     paired = kept(ordered.mapInPandas(_pair, EDGE))
     line = Window.orderBy(*KEY)
     outer = [F.lag(c).over(line).alias(f"b_{c}") for c in ("host", "path", "lines")] + [F.lead(c).over(line).alias(f"a_{c}") for c in ("host", "path", "lines")]
-    edges = paired.where("edge").select("*", *outer).where("undecided")
+    edges = paired.where("edge").select("*", *outer)
 
     def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -203,21 +205,37 @@ def shared_lines(lined: DataFrame) -> DataFrame:
             for r in batch.itertuples(index=False):
                 before = ((r.b_path, r.b_lines) if r.b_host == r.host else (None, None)) if r.starts else (r.other_path, r.other_lines)
                 after = ((r.a_path, r.a_lines) if r.a_host == r.host else (None, None)) if r.ends else (r.other_path, r.other_lines)
-                out.append((r.host, r.mark, _differ(r, before, after)))
-            yield pd.DataFrame(out, columns=["host", "mark", "shared"], dtype=object)
+                out.append((r.host, r.mark, r.lines, _differ(r, before, after)))
+            yield pd.DataFrame(out, columns=["host", "mark", "lines", "shared"], dtype=object)
 
-    inner = paired.where(~F.col("edge")).select("host", "mark", "shared")
+    inner = paired.where(~F.col("edge")).select("host", "mark", "lines", "shared")
     return inner.unionByName(edges.mapInPandas(finish, SHARED)).where(F.size("shared") > 0).dropDuplicates(["host", "mark"])
 
 
+def site_lines(shared: DataFrame, alike: DataFrame) -> DataFrame:
+    """(host, mark, shared, site): with ``site``, the positions of shared lines that over half of the host's different pages share.
+
+    ``alike`` has a row per different page. At least SITE_PAGES pages must share a line. Lines are counted over all pages of a host.
+    """
+    places = F.transform("shared", lambda i: F.struct(i.alias("place"), F.get("lines", i).alias("line")))
+    each = shared.select("host", "mark", F.explode(places).alias("p")).select("host", "mark", "p.place", "p.line")
+    lines = each.groupBy("host", "line").agg(F.count_distinct("mark").alias("n")).where(F.col("n") >= SITE_PAGES)
+    sizes = alike.groupBy("host").agg(F.count("*").alias("pages"))
+    lines = lines.join(sizes, "host").where(F.col("n") * 2 > F.col("pages")).select("host", "line")
+    found = each.join(lines, ["host", "line"]).groupBy("host", "mark").agg(F.collect_list("place").alias("site"))
+    return shared.select("host", "mark", "shared").join(found, ["host", "mark"], "left")
+
+
 def extract(pages: DataFrame, most: int = 50_000) -> DataFrame:
     """(page_id, url, text, n_chars) per page: its main text, blocks joined by a space.
 
     A page is a list of text lines (blocks), each boilerplate by its markup (menus, footers, adverts, forms and so on), part
-    of an article or main element, or undecided. A page with an article or main part gives all of that, furniture inside it
-    excepted. Any other page gives its undecided lines without those that also stand, in the same order (longest common
-    subsequence), on the page of the same host whose URL path is nearest: what a site repeats from page to page. Pages of a host
-    with equal lines (recrawled or mirrored) count as one, at the first of their paths, so a copy deletes nothing; all get its text.
+    of an article or main element, or undecided. Every page is differenced with the page of the same host whose URL path is nearest:
+    lines that also stand there, in the same order (longest common subsequence), are what a site repeats from page to page. A page
+    without article or main part gives its undecided lines but the shared ones. In an article or main part, furniture left out, a shared
+    line is checked before it goes: over half of the host's different pages and SITE_PAGES must share it, as two stories may have a line
+    in common. Pages of a host with equal lines (recrawled or mirrored) count as one, at the first of their paths, so a copy deletes
+    nothing; all get its text.
 
     Null html is empty; pages without url are one host's; rows equal in all columns give equal rows; other columns are ignored. The
     lines to delete are broadcast up to ``most`` pages and joined beyond.
@@ -235,17 +253,18 @@ def extract(pages: DataFrame, most: int = 50_000) -> DataFrame:
     own = pages.select("page_id", "url", split(F.coalesce("html", F.lit(""))).alias("_l"))
     own = own.withColumn("_top", F.coalesce(F.array_max("_l.levels"), F.lit(0)))
     hashes = F.transform("_l.lines", lambda x: F.xxhash64(x))
-    lined = own.select(host.alias("host"), hashes.alias("lines"), path.alias("path"), F.col("page_id").cast("string").alias("page_id"), (F.col("_top") == UNDECIDED).alias("undecided"))
-    alike = lined.groupBy("host", "lines").agg(F.min(F.struct("path", "page_id")).alias("f"), F.max("undecided").alias("undecided"))
-    alike = alike.select("host", "f.path", "f.page_id", F.xxhash64("lines").alias("mark"), "undecided", "lines")
-    shared = kept(shared_lines(alike)).withColumnRenamed("host", "_host").withColumnRenamed("mark", "_mark")
+    lined = own.select(host.alias("host"), hashes.alias("lines"), path.alias("path"), F.col("page_id").cast("string").alias("page_id"))
+    alike = lined.groupBy("host", "lines").agg(F.min(F.struct("path", "page_id")).alias("f"))
+    alike = kept(alike.select("host", "f.path", "f.page_id", F.xxhash64("lines").alias("mark"), "lines"))
+    shared = kept(site_lines(kept(shared_lines(alike)), alike)).withColumnRenamed("host", "_host").withColumnRenamed("mark", "_mark")
     small = shared.count() <= most
-    match = (F.col("_top") == UNDECIDED) & (host == F.col("_host")) & (F.xxhash64(hashes) == F.col("_mark"))
+    match = (host == F.col("_host")) & (F.xxhash64(hashes) == F.col("_mark"))
     joined = own.join(F.broadcast(shared) if small else shared, match, "left")
     places = F.sequence(F.lit(0), F.size("_l.lines") - 1)
+    gone = F.coalesce(F.when(F.col("_top") == UNDECIDED, F.col("shared")).otherwise(F.col("site")), F.array().cast("array<int>"))
     stays = F.filter(
         F.when(F.size("_l.lines") > 0, places).otherwise(F.array().cast("array<int>")),
-        lambda i: (F.get("_l.levels", i) == F.col("_top")) & (F.col("_top") > BOILERPLATE) & ~F.coalesce(F.array_contains(F.col("shared"), i), F.lit(False)),
+        lambda i: (F.get("_l.levels", i) == F.col("_top")) & (F.col("_top") > BOILERPLATE) & ~F.array_contains(gone, i),
     )
     text = F.array_join(F.transform(stays, lambda i: F.get("_l.lines", i)), " ")
     return joined.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))

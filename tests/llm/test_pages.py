@@ -91,3 +91,16 @@ def test_copies_of_a_page_keep_its_text(spark):
     for most in (0, 1000):
         found = pages.extract(df, most=most).collect()
         assert len(found) == 17 and all(r.text == want[r.page_id] for r in found)
+
+
+def test_every_page_is_differenced(spark):
+    """A line that a site repeats goes from articles too; one that two stories have in common stays."""
+    page = lambda i: f"<article><div>Read our offers</div><p>Story {i} begins</p><p>Part {i // 2}</p><p>and {i} ends</p></article>"
+    rows = [(i, f"http://h.example/a/{i:03}", page(i)) for i in range(30)] + [(100 + i, f"http://few.example/{i}", page(i)) for i in range(3)]
+    rows.append((200, "http://h.example/a/029b", "<div>Read our offers</div><p>No article</p>"))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    want = {i: f"Story {i} begins Part {i // 2} and {i} ends" for i in range(30)} | {200: "No article"}
+    want |= {100 + i: f"Read our offers Story {i} begins Part {i // 2} and {i} ends" for i in range(3)}
+    for most in (0, 1000):
+        found = pages.extract(df, most=most).collect()
+        assert len(found) == len(rows) and {r.page_id: r.text for r in found} == want
