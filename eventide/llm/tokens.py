@@ -13,9 +13,11 @@ don't fit are exceptions: their low bits are packed, their place and whole offse
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -36,6 +38,12 @@ PERCENTILE = 98.0
 SPACE_MARK = "\u0120"  # fixed value: how the vocabulary writes a space byte
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 # Pieces whose ends no tokenizer takes for white space.
+# Words that the vocabulary's pre-tokenizer takes as one part after a space, and the marks after them, which are another part.
+LETTERS = "".join(c for c in map(chr, range(0x250)) if c.isalpha() and c not in "ªº")
+SIGNS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
+# How byte-level vocabularies write each byte; those that don't stand for themselves are written from U+0100 on.
+BYTES = np.arange(256, dtype="<u4")
+BYTES[[*range(33), *range(127, 161), 173]] = np.arange(256, 324)
 PLAIN, CLOSED = r"^[!-~\pL\pN]([^ ]*[!-~\pL\pN])?$", re.compile(r"([!-~]|[^\W_])\Z")
 
 
@@ -181,7 +189,8 @@ class Pieces:
 
     A space between two characters that are no white space always starts a token, and no token of the vocabulary goes across it. So
     what stands between such spaces may be encoded by itself: a batch's pieces are numbered, new ones encoded together, the others
-    taken from a table. Texts with other spaces are encoded whole.
+    taken from a table. A piece that is LETTERS with SIGNS or none after them has two parts for the pre-tokenizer; these go to the library's model
+    directly, each different one once in a batch. Texts with other spaces are encoded whole.
     """
 
     def __init__(self, definition: str, end: int, most: int = 1 << 21) -> None:
@@ -191,6 +200,14 @@ class Pieces:
         vocabulary = self.encoder.get_vocab()
         self.starts = np.zeros(max(vocabulary.values()) + 1, bool)  # numbers of tokens that start with a space
         self.starts[[n for token, n in vocabulary.items() if token.startswith(SPACE_MARK)]] = True
+        parts = json.loads(definition)
+        byte_level = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+        self.direct = (
+            parts.get("normalizer") is None
+            and byte_level.items() <= (parts.get("pre_tokenizer") or {}).items()
+            and parts["model"]["type"] == "BPE"
+            and not any(not x["content"].lstrip(" ").lstrip(LETTERS).rstrip(SIGNS) for x in parts.get("added_tokens", ()))
+        )
         self.forget()
 
     def forget(self) -> None:
@@ -201,6 +218,25 @@ class Pieces:
     def whole(self, text: str) -> bytes:
         return np.array(self.encoder.encode(text, add_special_tokens=False).ids, "<u4").tobytes() if text else b""
 
+    def parts(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(numbers, sizes) of parts as the vocabulary writes them, by the library's model."""
+        tokenize = self.encoder.model.tokenize
+        found = [[token.id for token in tokenize(part)] for part in parts]
+        return np.fromiter(chain.from_iterable(found), "<u4"), np.fromiter(map(len, found), np.int64, len(found))
+
+    def simple(self, pieces: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """(numbers, sizes) of pieces of LETTERS and SIGNS, as they are after a space."""
+        words = pc.utf8_rtrim(pieces, characters=SIGNS).dictionary_encode()
+        signs = pc.utf8_ltrim(pieces, characters=LETTERS).dictionary_encode()
+        written = BYTES[np.frombuffer((" " + " ".join(words.dictionary.to_pylist())).encode(), np.uint8)].tobytes().decode("utf-32-le")
+        numbers, sizes = self.parts([SPACE_MARK + w for w in written.split(SPACE_MARK)[1:]])
+        more, more_sizes = self.parts(signs.dictionary.to_pylist())
+        pool, sizes = np.concatenate([numbers, more]), np.concatenate([sizes, more_sizes])
+        which = np.stack([words.indices.to_numpy(), signs.indices.to_numpy() + len(words.dictionary)], axis=1).ravel()
+        starts, lengths = (np.cumsum(sizes) - sizes)[which], sizes[which]
+        upto = np.cumsum(lengths)
+        return pool[np.repeat(starts - (upto - lengths), lengths) + np.arange(upto[-1])], lengths.reshape(-1, 2).sum(axis=1)
+
     def learn(self, pieces: pa.StringArray) -> np.ndarray:
         """Where each of the different ``pieces`` stands in the table, new ones added to it."""
         if len(self.known) > self.most:
@@ -211,19 +247,25 @@ class Pieces:
         if not len(fresh):
             return at
         at[at < 0] = len(self.known) + np.arange(len(fresh))
-        plain = pc.match_substring_regex(fresh, PLAIN).to_numpy(zero_copy_only=False)
-        sizes, numbers = np.full(len(fresh), -1, np.int64), [self.numbers]
-        rows = np.flatnonzero(plain)
+        sizes, places, numbers = np.full(len(fresh), -1, np.int64), np.zeros(len(fresh), np.int64), [self.numbers]
+        signs = pc.utf8_ltrim(fresh, characters=LETTERS)
+        simple = pc.and_(pc.less(pc.binary_length(signs), pc.binary_length(fresh)), pc.equal(pc.utf8_rtrim(signs, characters=SIGNS), ""))
+        simple = simple.to_numpy(zero_copy_only=False) & self.direct
+        if simple.any():
+            ids, sizes[simple] = self.simple(fresh.filter(pa.array(simple)))
+            numbers.append(ids)
+        rows = np.flatnonzero(~simple)
+        rows = rows[pc.match_substring_regex(fresh.take(rows), PLAIN).to_numpy(zero_copy_only=False)]
         for first in range(0, len(rows), 4096):
             some = rows[first : first + 4096]
             text = " " + " ".join(fresh.take(some).to_pylist())
             ids = np.array(self.encoder.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
             sizes[some] = np.diff([*np.flatnonzero(self.starts[ids]), len(ids)])
             numbers.append(ids)
+        order = np.concatenate([np.flatnonzero(simple), rows])  # as ``numbers`` has them
+        places[order] = len(self.numbers) + np.cumsum(sizes[order]) - sizes[order]
         self.known, self.numbers = pa.concat_arrays([self.known, fresh]), np.concatenate(numbers)
-        self.sizes = np.concatenate([self.sizes, sizes])
-        filled = np.maximum(self.sizes, 0)
-        self.places = np.cumsum(filled) - filled
+        self.sizes, self.places = np.concatenate([self.sizes, sizes]), np.concatenate([self.places, places])
         return at
 
     def encode(self, texts: pa.StringArray) -> list[bytes]:
@@ -263,7 +305,7 @@ def write_tokens(
     its pieces are known, and writes segments of about ``segment`` numbers, ``per_file`` to a file. It holds one Arrow batch and one
     segment, and at least one document.
     """
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, rows=2000)
     with open(vocabulary, encoding="utf-8") as file:
         sent = send(docs.sparkSession, file.read())
 

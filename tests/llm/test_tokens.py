@@ -105,3 +105,28 @@ def test_text_ids_and_no_whole_segment(spark):
     assert found(tokens.token_spans(spark.createDataFrame(rows, "doc_id string, text string")))[1][:3] == ("a", 2, 1)
     with pytest.raises(ValueError, match="no whole segment"):
         tokens.Segment(tokens.write_segment(0, 0, 0, ["a"], [b"\0\0\0\0"])[:-1])
+
+
+def test_words_go_to_the_model_directly():
+    """Words and the marks after them as the library encodes them in a whole text, without its text pipeline for each."""
+    words = ["word", "Müller", "naïve", "ǆɏÿ", "straße", "a", "it", "ªb", "Ωmega", "日本", "x1", "don't", "a_b"]
+    signs = ["", ".", ",", "'", "'s", "\")", "...", "!?", "_", "<|", "\u00a0", "\u2019"]
+    text = "start " + " ".join(w + s for w in words for s in signs) + " <|endoftext|> end<|endoftext|>"
+    whole = ENCODER.encoder.encode(text, add_special_tokens=False).ids
+    fresh, asked = tokens.Pieces(DEFINITION, 2), []
+    library = fresh.encoder
+
+    class Counted:
+        model = library.model
+
+        def encode(self, text, **settings):
+            return library.encode(text, **settings)
+
+        def encode_batch_fast(self, texts, **settings):
+            asked.extend(texts)
+            return library.encode_batch_fast(texts, **settings)
+
+    fresh.encoder = Counted()
+    for _ in range(2):
+        assert np.frombuffer(fresh.encode(pa.array([text, None, "one word"]))[0], "<u4").tolist() == whole + [2]
+    assert fresh.direct and "Müller." not in " ".join(asked).split(" ") and "x1." in " ".join(asked).split(" ")
