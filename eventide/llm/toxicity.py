@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventide.llm.common import SPACE, fold, kept, small_batches
+from eventide.llm.common import SPACE, fold, kept, release, small_batches
 
 DECAY, REACH, POWER, LONGEST = 0.6, 5, 2, 24
 FEATURES = 1 << 20
@@ -104,8 +104,16 @@ def landmarks(words: list[str]) -> Landmarks:
     return Landmarks(words, place, np.append(starts, len(order)), word[order], weight[order])
 
 
-def kernel(words: list[str], marks: Landmarks) -> np.ndarray:
-    """Kernel of each word with each landmark, 0 to 1: the cosine of their subsequences to the POWER, itself a kernel."""
+def kernel(words: list[str], marks: Landmarks, block: int = 2048) -> np.ndarray:
+    """Kernel of each word with each landmark, 0 to 1: the cosine of their subsequences to the POWER, itself a kernel.
+
+    Words are taken ``block`` at a time, so that only a block's subsequences are in memory.
+    """
+    if len(words) > block:
+        out = np.empty((len(words), len(marks.words)))
+        for at in range(0, len(words), block):
+            out[at : at + block] = kernel(words[at : at + block], marks, block)
+        return out
     word, feature, weight = subsequences(words)
     if not len(word) or not len(marks.owners):
         return np.zeros((len(words), len(marks.words)))
@@ -296,6 +304,7 @@ def fit(
 
     clean = ranked.where("n > 0 and share <= 0.9").select("w", alike("w").alias("k")).orderBy(F.desc("k"), "w").limit(others)
     innocent = [r["w"] for r in clean.collect()]
+    release(docs.sparkSession)
     x, y = kernel(guilty + innocent, found), np.repeat([1, 0], [len(guilty), len(innocent)])
     value, vectors = np.linalg.eigh(kernel(found.words, found) + 1e-3 * np.eye(len(found.words)))
     root = vectors @ np.diag(1 / np.sqrt(np.maximum(value, 1e-3))) @ vectors.T

@@ -2,6 +2,7 @@
 
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -153,6 +154,17 @@ def test_kernel_equals_plain_subsequences():
     assert got[1, 0] > 0.1 > got[3, 0]
 
 
+def test_kernel_of_many_words_needs_little_memory():
+    rng = random.Random(3)
+    words = ["".join(rng.choices("aeiourstnl", k=9)) for _ in range(20_000)]
+    marks = toxicity.landmarks(words[:128])
+    tracemalloc.start()
+    got = toxicity.kernel(words, marks)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 150 << 20 and np.allclose(got[:50], toxicity.kernel(words[:50], marks)) and np.allclose(got[-1], toxicity.kernel(words[-1:], marks)[0])
+
+
 def test_units():
     assert toxicity.pieces("i.d*i-o.t!") == ["i.d*i-o.t", "idiot"]
     found, many = toxicity.units("You  i d i o t, OK OK!")
