@@ -157,17 +157,22 @@ def fingerprint_pairs(nodes: DataFrame) -> DataFrame:
 
 
 def meetings(nodes: DataFrame) -> DataFrame:
-    """(token, node, n, at, _node, _n, _at) of tokens that several nodes have in their prefixes, with one of these, chosen by a hash.
+    """(token, node, n, at, _node, _n, _core, _m) of tokens that several nodes have in their prefixes, with two of these.
 
-    ``at`` is the token's place in the set's order. One exchange brings a token's nodes together; tokens of one node, nearly all, go no
-    further.
+    ``at`` is the token's place in the set's order. ``_core`` (of ``_m`` tokens) has it foremost: it has the fewest rarer tokens of its
+    own, so it is nearest to what a large group of edited copies has in common, and most of them are alike to it where they aren't
+    to each other. ``_node`` (of ``_n``) is chosen by a hash, which serves tokens that several groups have. One exchange brings a
+    token's nodes together; tokens of one node, nearly all, go no further.
     """
     rows = nodes.select("node", "n", F.posexplode("token").alias("at", "token"))
     group = Window.partitionBy("token").orderBy(F.xxhash64("token", "node"), "node")
-    chosen = F.first(F.struct("node", "n", "at")).over(group)
+    whole = group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    chosen = F.first(F.struct("node", "n")).over(group)
+    core = F.min(F.struct("at", F.xxhash64("node").alias("_h"), "node", "n")).over(whole)
     another = F.lead("node").over(group).isNotNull() | (F.row_number().over(group) > 1)
-    seen = rows.select("*", chosen.alias("_c"), another.alias("_several")).where("_several")
-    return seen.select("token", "node", "n", "at", *[F.col(f"_c.{c}").alias(f"_{c}") for c in ("node", "n", "at")])
+    seen = rows.select("*", chosen.alias("_c"), core.alias("_f"), another.alias("_several")).where("_several")
+    names = {"_c.node": "_node", "_c.n": "_n", "_f.node": "_core", "_f.n": "_m"}
+    return seen.select("token", "node", "n", "at", *[F.col(c).alias(name) for c, name in names.items()])
 
 
 def may_meet() -> Column:
@@ -180,14 +185,15 @@ def may_meet() -> Column:
 def roots_of(nodes: DataFrame, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, turns: int = 0) -> DataFrame:
     """(node, root) of sets linked to others by a chain of pairs at Jaccard >= 0.8; sets without such a pair don't appear.
 
-    Pairs near by fingerprint are compared first. Then sets that share a prefix token: each with one of the token's sets, another
+    Pairs near by fingerprint are compared first. Then sets that share a prefix token: each with two of the token's sets, another
     in each of the ``turns``, which joins the members of a large group without all its pairs, and last all pairs that a token still has between sets not joined so far.
     """
     test = lambda pairs: similar(kept(likely(pairs, nodes)), nodes, docs, id_col, text_col, shingle)
     close = (5 * F.col("n") >= 4 * F.col("_n")) & (5 * F.col("_n") >= 4 * F.col("n"))
     ends = F.least("node", "_node").alias("a"), F.greatest("node", "_node").alias("b")
     live = kept(meetings(nodes))
-    met = live.where((F.col("node") != F.col("_node")) & close).select(*ends)
+    either = F.explode(F.array(F.struct("_node", "_n"), F.struct(F.col("_core").alias("_node"), F.col("_m").alias("_n")))).alias("_e")
+    met = live.select("node", "n", either).select("node", "n", "_e.*").where((F.col("node") != F.col("_node")) & close).select(*ends)
     links = test(fingerprint_pairs(nodes).unionByName(met))
     release(docs.sparkSession)
     live = live.select("token", "node", "n", "at")

@@ -89,3 +89,25 @@ def test_sketches_never_differ_in_more_bits_than_the_sets_in_tokens():
         x, y = sorted((jaccard.sketch_of(a), jaccard.sketch_of(b)), key=len)
         y = y[: len(x)] ^ y[len(x) :] if len(y) > len(x) else y
         assert int(np.bitwise_count((x ^ y).view("<u8")).sum()) <= len(set(a.tolist()) ^ set(b.tolist()))
+
+
+def test_a_large_group_of_edited_copies_is_joined_without_all_its_pairs(spark, monkeypatch):
+    """Copies with three edits are alike to the text they come from (131 of 161 shingles), not to each other; with five to none."""
+    rng = random.Random(5)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(150)]
+    rows = [(0, " ".join(base))]
+    for n in range(1, 241):
+        text = list(base)
+        for at in rng.sample(range(6, 144, 6), 3 if n % 6 else 5):
+            text[at] = f"x{rng.randrange(10**6)}"
+        rows.append((n, " ".join(text)))
+    compared, plain_likely = [], jaccard.likely
+
+    def likely(pairs, nodes):
+        compared.append(pairs.distinct().count())
+        return plain_likely(pairs, nodes)
+
+    monkeypatch.setattr(jaccard, "likely", likely)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert sorted(r.doc_id for r in jaccard.deduplicate(df).collect()) == plain_kept(rows)
+    assert len(plain_kept(rows)) == 41 and compared[-1] <= len(rows) and sum(compared) <= 20 * len(rows)
