@@ -44,6 +44,7 @@ SIGNS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
 # How byte-level vocabularies write each byte; those that don't stand for themselves are written from U+0100 on.
 BYTES = np.arange(256, dtype="<u4")
 BYTES[[*range(33), *range(127, 161), 173]] = np.arange(256, 324)
+SOME, SEARCHED = 1 << 14, 1 << 18  # parts that are Python objects at a time; pieces in a block of the table
 PLAIN, CLOSED = r"^[!-~\pL\pN]([^ ]*[!-~\pL\pN])?$", re.compile(r"([!-~]|[^\W_])\Z")
 
 
@@ -191,6 +192,9 @@ class Pieces:
     what stands between such spaces may be encoded by itself: a batch's pieces are numbered, new ones encoded together, the others
     taken from a table. A piece that is LETTERS with SIGNS or none after them has two parts for the pre-tokenizer; these go to the library's model
     directly, each different one once in a batch. Texts with other spaces are encoded whole.
+
+    Beside the table, memory goes to one batch's pieces: Python objects and tokens are made for SOME of them at a time, and the table is
+    searched block by block, as the library's search makes a hash table of all that it is given.
     """
 
     def __init__(self, definition: str, end: int, most: int = 1 << 21) -> None:
@@ -211,26 +215,33 @@ class Pieces:
         self.forget()
 
     def forget(self) -> None:
-        """Known pieces, as they are after a space, and the numbers of each: ``sizes`` many from ``places`` on; -1: not to be taken by itself."""
-        self.known, self.numbers = pa.array([], pa.string()), np.zeros(0, "<u4")
+        """Blocks of known pieces, as they are after a space, and the numbers of each: ``sizes`` many from ``places`` on; -1: not to be taken by itself."""
+        self.known: list[pa.StringArray] = []
+        self.numbers = np.zeros(0, "<u4")
         self.sizes = self.places = np.zeros(0, np.int64)
 
     def whole(self, text: str) -> bytes:
         return np.array(self.encoder.encode(text, add_special_tokens=False).ids, "<u4").tobytes() if text else b""
 
-    def parts(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(numbers, sizes) of parts as the vocabulary writes them, by the library's model."""
-        tokenize = self.encoder.model.tokenize
-        found = [[token.id for token in tokenize(part)] for part in parts]
-        return np.fromiter(chain.from_iterable(found), "<u4"), np.fromiter(map(len, found), np.int64, len(found))
+    def parts(self, parts: pa.StringArray, words: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """(numbers, sizes) of parts by the library's model; ``words`` are written as the vocabulary has them after a space."""
+        tokenize, numbers, sizes = self.encoder.model.tokenize, [np.zeros(0, "<u4")], [np.zeros(0, np.int64)]
+        for first in range(0, len(parts), SOME):
+            some = parts.slice(first, SOME).to_pylist()
+            if words:
+                written = BYTES[np.frombuffer((" " + " ".join(some)).encode(), np.uint8)].tobytes().decode("utf-32-le")
+                some = [SPACE_MARK + w for w in written.split(SPACE_MARK)[1:]]
+            found = [[token.id for token in tokenize(part)] for part in some]
+            numbers.append(np.fromiter(chain.from_iterable(found), "<u4"))
+            sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
+        return np.concatenate(numbers), np.concatenate(sizes)
 
     def simple(self, pieces: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
         """(numbers, sizes) of pieces of LETTERS and SIGNS, as they are after a space."""
         words = pc.utf8_rtrim(pieces, characters=SIGNS).dictionary_encode()
         signs = pc.utf8_ltrim(pieces, characters=LETTERS).dictionary_encode()
-        written = BYTES[np.frombuffer((" " + " ".join(words.dictionary.to_pylist())).encode(), np.uint8)].tobytes().decode("utf-32-le")
-        numbers, sizes = self.parts([SPACE_MARK + w for w in written.split(SPACE_MARK)[1:]])
-        more, more_sizes = self.parts(signs.dictionary.to_pylist())
+        numbers, sizes = self.parts(words.dictionary, words=True)
+        more, more_sizes = self.parts(signs.dictionary)
         pool, sizes = np.concatenate([numbers, more]), np.concatenate([sizes, more_sizes])
         which = np.stack([words.indices.to_numpy(), signs.indices.to_numpy() + len(words.dictionary)], axis=1).ravel()
         starts, lengths = (np.cumsum(sizes) - sizes)[which], sizes[which]
@@ -239,14 +250,18 @@ class Pieces:
 
     def learn(self, pieces: pa.StringArray) -> np.ndarray:
         """Where each of the different ``pieces`` stands in the table, new ones added to it."""
-        if len(self.known) > self.most:
+        if len(self.sizes) > self.most:
             self.forget()
-        found = pc.index_in(pieces, value_set=self.known)
-        new = pc.is_null(found)
-        fresh, at = pieces.filter(new), pc.fill_null(found, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        at, fresh, new, before = np.zeros(len(pieces), np.int64), pieces, np.arange(len(pieces)), 0
+        for block in self.known:
+            found = pc.index_in(fresh, value_set=block)
+            unknown = pc.is_null(found)
+            at[new] = before + pc.fill_null(found, 0).to_numpy(zero_copy_only=False)
+            fresh, new = fresh.filter(unknown), new[unknown.to_numpy(zero_copy_only=False)]
+            before += len(block)
         if not len(fresh):
             return at
-        at[at < 0] = len(self.known) + np.arange(len(fresh))
+        at[new] = before + np.arange(len(fresh))
         sizes, places, numbers = np.full(len(fresh), -1, np.int64), np.zeros(len(fresh), np.int64), [self.numbers]
         signs = pc.utf8_ltrim(fresh, characters=LETTERS)
         simple = pc.and_(pc.less(pc.binary_length(signs), pc.binary_length(fresh)), pc.equal(pc.utf8_rtrim(signs, characters=SIGNS), ""))
@@ -264,7 +279,10 @@ class Pieces:
             numbers.append(ids)
         order = np.concatenate([np.flatnonzero(simple), rows])  # as ``numbers`` has them
         places[order] = len(self.numbers) + np.cumsum(sizes[order]) - sizes[order]
-        self.known, self.numbers = pa.concat_arrays([self.known, fresh]), np.concatenate(numbers)
+        self.numbers = np.concatenate(numbers)
+        if self.known and len(self.known[-1]) + len(fresh) <= SEARCHED:
+            fresh = pa.concat_arrays([self.known.pop(), fresh])
+        self.known.append(fresh)
         self.sizes, self.places = np.concatenate([self.sizes, sizes]), np.concatenate([self.places, places])
         return at
 
@@ -275,22 +293,25 @@ class Pieces:
         coded = split.flatten().dictionary_encode()
         if not len(coded):
             return []
-        at = self.learn(coded.dictionary)[coded.indices.to_numpy()]
-        sizes, after = self.sizes[at], np.ones(len(at), bool)
-        after[bounds[:-1]] = False  # a text's first piece has no space before it
-        unfit = np.concatenate([[0], np.cumsum(after & (sizes < 0))])
-        lengths = np.where(after, np.maximum(sizes, 0), 0)
-        upto = np.cumsum(lengths)
-        ids = self.numbers[np.repeat(self.places[at] - (upto - lengths), lengths) + np.arange(upto[-1])]
-        out = []
+        place, indices, out = self.learn(coded.dictionary), coded.indices.to_numpy(), []
         for text, a, b in zip(texts, bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-            first = (text.as_py() or "").split(" ", 1)[0]
-            if unfit[b] > unfit[a] or b > a + 1 and not CLOSED.search(first):
+            first, at = (text.as_py() or "").split(" ", 1)[0], place[indices[a + 1 : b]]  # a text's first piece has no space before it
+            lengths = self.sizes[at]
+            if b > a + 1 and (lengths.min() < 0 or not CLOSED.search(first)):
                 out.append(self.whole(text.as_py()) + self.end)
             else:
-                out.append(self.whole(first) + ids[upto[a] : upto[b - 1]].tobytes() + self.end)
+                out.append(self.whole(first) + self.taken(at, lengths) + self.end)
         return out
 
+    def taken(self, at: np.ndarray, lengths: np.ndarray) -> bytes:
+        """The numbers of the table's pieces ``at``, one after the other; a long text's SEARCHED pieces at a time."""
+        out = []
+        for first in range(0, len(at), SEARCHED):
+            some = lengths[first : first + SEARCHED]
+            upto = np.cumsum(some)
+            out.append(self.numbers[np.repeat(self.places[at[first : first + SEARCHED]] - (upto - some), some) + np.arange(upto[-1])].tobytes())
+        return b"".join(out)
+
 
 def write_tokens(
     docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = VOCABULARY, end: int = 2, segment: int = 1 << 18,

@@ -1,6 +1,7 @@
 """Token files against the tokenizers library, whole and by spans."""
 
 import struct
+import tracemalloc
 import zlib
 from itertools import accumulate
 
@@ -130,3 +131,18 @@ def test_words_go_to_the_model_directly():
     for _ in range(2):
         assert np.frombuffer(fresh.encode(pa.array([text, None, "one word"]))[0], "<u4").tolist() == whole + [2]
     assert fresh.direct and "Müller." not in " ".join(asked).split(" ") and "x1." in " ".join(asked).split(" ")
+
+
+@pytest.mark.parametrize("different", [1000, 300_000])
+def test_memory_goes_to_a_batch_s_different_pieces_and_their_numbers(different):
+    """Neither a batch's pieces times several arrays, nor Python objects for all that is new in it."""
+    words = ["".join(chr(97 + n // 26**k % 26) for k in range(4)) for n in range(different)]
+    batch = pa.array([" ".join(words[i * 1000 % different :][:1000]) for i in range(300)])
+    fresh = tokens.Pieces(DEFINITION, 2)
+    tracemalloc.start()
+    out = fresh.encode(batch)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert numbers(out[-1]) == plain(batch[-1].as_py()) and len(out) == 300
+    assert most < sum(map(len, out)) + 140 * different + (8 << 20)
+    assert numbers(fresh.encode(batch)[0]) == plain(batch[0].as_py())
